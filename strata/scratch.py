@@ -17,7 +17,7 @@ _FALLBACK = "strata.scratch.dir"
 
 def scratch_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return shared.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
