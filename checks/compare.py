@@ -55,7 +55,7 @@ def main(sf_dir, *names):
     from checks.queries import QUERIES
     from strata.session import build_session
 
-    spark = build_session("compare", "local[8]", 8, **{"spark.driver.memory": "12g"})
+    spark = build_session("compare", "local[8]", 8, **{"spark.driver.memory": "12g", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     bad = 0

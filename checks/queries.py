@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +22,9 @@ from strata.operators.dims import date_dimension, surrogate_key
 from strata.operators.fact import build_fact
 from strata.operators.lookup import lookup, lookup_scd2
 from strata.operators.skew import salted_join
+from strata.parallel import together
 from strata.plans import layers, retail
-from strata.scratch import scratch_path
+from strata.scratch import materialise, scratch_path
 from strata.sources.files import read_batches, write_batch
 from strata.streaming.changes import apply_changes, read_history
 from strata.streaming.ingest import append_available, load_once, stream_batches, stream_table
@@ -40,6 +42,10 @@ def _silver(spark, sf, entity):
     return retail.silver(RAW[entity](spark, sf), entity, ID)
 
 
+def _stored(spark, sf, entity):
+    return materialise(_silver(spark, sf, entity), entity)
+
+
 def _versions(spark, sf):
     return retail.customer_versions(RAW["customers"](spark, sf), DATES, ID)
 
@@ -305,17 +311,23 @@ def event_daily_state(spark, sf):
 # --- facts -------------------------------------------------------------------------------
 
 
+def _history_in(spark, sf, encoding):
+    if encoding == "closed":
+        return _compared(spark, sf)
+    return _customer_history(spark, sf, "half_open")
+
+
 def _fact(spark, sf, encoding, **options):
-    history = (
-        _compared(spark, sf)
-        if encoding == "closed"
-        else _customer_history(spark, sf, "half_open")
-    )
+    """Cleaned tables and dimensions stored side by side, then the fact out of them."""
+    jobs = {e: partial(_stored, spark, sf, e) for e in ("order_lines", "orders")}
+    jobs["dim_customer"] = lambda: retail.dim_customer(_history_in(spark, sf, encoding), encoding)
+    jobs["dim_product"] = lambda: retail.dim_product(_silver(spark, sf, "products"))
+    built = together(jobs)
     return build_fact(
-        _silver(spark, sf, "order_lines"),
-        _silver(spark, sf, "orders"),
-        retail.dim_customer(history, encoding),
-        retail.dim_product(_silver(spark, sf, "products")),
+        built["order_lines"],
+        built["orders"],
+        built["dim_customer"],
+        built["dim_product"],
         encoding,
         **options,
     )
@@ -511,7 +523,7 @@ def content_check_fact(spark, sf):
     columns = [
         "order_date_key", "quantity", "unit_price", "discount_pct", "line_amount", "order_status",
     ]
-    variants = {"closed": _fact(spark, sf, "closed"), "half_open": _fact(spark, sf, "half_open")}
+    variants = together({e: partial(_fact, spark, sf, e) for e in ("closed", "half_open")})
     return reconcile.content_check(variants, ["order_id", "line_id"], columns)
 
 

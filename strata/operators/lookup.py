@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +40,7 @@ def lookup(
         *[F.col(d).cast(types[f]).alias(f) for f, d in on.items()],
         *[F.col(d).alias(name) for name, d in take.items()],
     )
-    if fits_broadcast(side, broadcast_bytes):
+    if fits_broadcast(side, list(on), broadcast_bytes):
         return fact.join(F.broadcast(side), list(on), "left").select(*fact.columns, *take)
     return salted_join(fact, side, list(on), "left", hot_rows)
 
@@ -90,7 +90,7 @@ def lookup_scd2(
         raise ValueError(f"{at} is {types[at]} but versions start at a {start_type}")
     when = F.col(at).cast(start_type)
 
-    if fits_broadcast(side, broadcast_bytes) and _longest(side, keys) <= LONG_HISTORY:
+    if fits_broadcast(side, keys, broadcast_bytes, LONG_HISTORY):
         same_key = [fact[k] == side[k] for k in keys]
         inside = (side["_start"] <= when) & _covers(when, side["_end"], encoding)
         picked = fact.join(F.broadcast(side), [*same_key, inside], "left")
@@ -129,8 +129,3 @@ def lookup_scd2(
         sliced = range_slices(mixed.filter(is_hot(keys, hot)), [*keys, "_at", "_kind"])
         result = result.unionByName(pick(sliced))
     return result.unionByName(fact.filter(missing).withColumns(no_version))
-
-
-def _longest(side: DataFrame, keys: Sequence[str]) -> int:
-    counts = side.groupBy(*keys).count()
-    return counts.agg(F.coalesce(F.max("count"), F.lit(0)).alias("n")).first()["n"]

@@ -47,25 +47,41 @@ def is_hot(keys: Sequence[str], hashes: Sequence[int]) -> Column:
     return key_hash(keys).isin(*hashes) if hashes else F.lit(False)
 
 
-def table_bytes(df: DataFrame) -> int | None:
-    """Measured size of the values of ``df`` in bytes; None for types it cannot measure."""
-    varying, fixed = [], 0
+def row_bytes(df: DataFrame) -> Column | None:
+    """Size of a row of ``df`` in memory, about; None for nested columns."""
+    fixed, varying = 16 * len(df.columns), []
     for field in df.schema.fields:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            varying.append(F.coalesce(F.octet_length(field.name), F.lit(0)).cast("long"))
-        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
             return None
-        fixed += 16
-    width = F.lit(fixed).cast("long")
-    for part in varying:
-        width = width + part
-    return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()["b"]
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            varying.append(F.coalesce(F.octet_length(field.name), F.lit(0)))
+    return sum(varying, F.lit(fixed)).cast("long")
+
+
+def measure(df: DataFrame, keys: Sequence[str]) -> tuple[int | None, int]:
+    """Bytes of ``df`` as it is now (None if unknown) and rows of its most frequent key.
+
+    One job over ``df``, counted per key in the map tasks first. Give it only the columns
+    that are to travel.
+    """
+    width = row_bytes(df)
+    size = F.lit(0).cast("long") if width is None else F.sum(width)
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), size.alias("b"))
+    total = per_key.agg(F.sum("b").alias("b"), F.max("n").alias("n")).first()
+    return (None if width is None else total["b"] or 0), total["n"] or 0
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether ``df``, as measured now, is small enough to send to every executor."""
-    size = table_bytes(df) if limit > 0 else None
-    return size is not None and size <= limit
+def fits_broadcast(
+    df: DataFrame, keys: Sequence[str], limit: int = BROADCAST_BYTES, per_key: int | None = None
+) -> bool:
+    """Whether ``df``, as measured now, is small enough to send to every executor.
+
+    With ``per_key`` no key may have more rows than that either.
+    """
+    if limit <= 0:
+        return False
+    size, most = measure(df, keys)
+    return size is not None and size <= limit and (per_key is None or most <= per_key)
 
 
 def salted_join(
@@ -75,13 +91,15 @@ def salted_join(
     how: str,
     hot_rows: int = HOT_ROWS,
     salts: int = 64,
+    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Inner or left equi-join in which the rows of a hot left key are spread over tasks.
 
     Rows of ``left`` with a hot key get a salt out of their own content (the same again after a
     retry); the few matching rows of ``right`` are repeated once per salt. Rows with a NULL
     key match nothing and do not travel: they are dropped or completed with NULLs in place.
-    ``right`` is meant to be unique on ``keys``.
+    ``right`` is meant to be unique on ``keys``. ``hot`` are the hashes of the hot keys where
+    they are known; finding them reads ``left`` once more.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how}")
@@ -92,7 +110,8 @@ def salted_join(
     for k in keys:
         some_null = some_null | F.col(k).isNull()
     keyed = left.filter(~some_null)
-    hot = hot_hashes(keyed, keys, hot_rows)
+    if hot is None:
+        hot = hot_hashes(keyed, keys, hot_rows)
     if hot:
         spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")
         copies = F.sequence(F.lit(0), F.lit(salts - 1))

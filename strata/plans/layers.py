@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from strata.operators.quality import (
     split_rejects,
     unique,
 )
+from strata.parallel import together
 from strata.plans import retail
 from strata.sources.files import read_batches
 from strata.sources.tables import read_table, refresh_table
@@ -47,37 +49,44 @@ class _Folder:
 
 
 def _bronze(out: _Folder, raw_root: str) -> dict[str, int]:
-    return {
-        f"bronze.{e}": refresh_table(
-            read_batches(out.spark, raw_root, e, retail.COLUMNS[e]), out.path("bronze", e)
-        )
-        for e in ENTITIES
-    }
+    def ingest(entity: str) -> int:
+        rows = read_batches(out.spark, raw_root, entity, retail.COLUMNS[entity])
+        return refresh_table(rows, out.path("bronze", entity))
+
+    return together({f"bronze.{e}": partial(ingest, e) for e in ENTITIES})
 
 
 def _silver(out: _Folder, id_type: str) -> dict[str, int]:
     """Cleaned tables; rows that miss an expectation are counted and set aside with the reason."""
-    rows = {}
-    for entity in ENTITIES:
+
+    def clean(entity: str) -> dict[str, int]:
         typed = retail.typed(out.read("bronze", entity), entity, id_type)
         expected = retail.expectations(entity)
         kept, seen = expect_or_drop(typed, expected)
         silver = retail.latest(kept, entity).drop("_batch_id")
-        rows[f"silver.{entity}"] = refresh_table(silver, out.path("silver", entity))
+        written = refresh_table(silver, out.path("silver", entity))
         dropped = sum(seen.get[label] for label in expected)
-        rows[f"rejects.{entity}"] = dropped
         if dropped:
             refresh_table(split_rejects(typed, expected)[1], out.path("rejects", entity))
+        return {f"silver.{entity}": written, f"rejects.{entity}": dropped}
+
+    rows: dict[str, int] = {}
+    for counts in together({e: partial(clean, e) for e in ENTITIES}).values():
+        rows |= counts
     return rows
 
 
 def _gold(out: _Folder, history: DataFrame, encoding: str) -> dict[str, int]:
     dims = {
-        "dim_customer": retail.dim_customer(history, encoding),
-        "dim_product": retail.dim_product(out.read("silver", "products")),
-        "dim_date": retail.dim_date(out.read("silver", "orders")),
+        "dim_customer": lambda: retail.dim_customer(history, encoding),
+        "dim_product": lambda: retail.dim_product(out.read("silver", "products")),
+        "dim_date": lambda: retail.dim_date(out.read("silver", "orders")),
     }
-    rows = {f"gold.{n}": refresh_table(df, out.path("gold", n)) for n, df in dims.items()}
+
+    def store(name: str) -> int:
+        return refresh_table(dims[name](), out.path("gold", name))
+
+    rows = together({f"gold.{name}": partial(store, name) for name in dims})
     fact = retail.fact_order_line(
         out.read("silver", "order_lines"),
         out.read("silver", "orders"),
@@ -135,12 +144,13 @@ def run_incremental(
     the history takes its changes from the bronze table.
     """
     out = _Folder(spark, out_root)
-    rows = {}
-    for e in ENTITIES:
-        stream = stream_batches(spark, raw_root, e, retail.COLUMNS[e])
-        rows[f"bronze.{e}"] = append_available(
-            stream, out.path("bronze", e), out.path("_checkpoints/bronze", e)
-        )
+
+    def ingest(entity: str) -> int:
+        stream = stream_batches(spark, raw_root, entity, retail.COLUMNS[entity])
+        state = out.path("_checkpoints/bronze", entity)
+        return append_available(stream, out.path("bronze", entity), state)
+
+    rows = together({f"bronze.{e}": partial(ingest, e) for e in ENTITIES})
     rows |= _silver(out, id_type)
     bronze_customers = out.path("bronze", "customers")
     schema = read_table(spark, bronze_customers).schema
