@@ -53,8 +53,8 @@ def _versions(spark, sf):
 def _compared(spark, sf):
     states = _versions(spark, sf)
     return hist.scd2_compare(
-        states.filter("_batch_id = 'batch_1'"),
-        states.filter("_batch_id = 'batch_2'"),
+        retail.batch_state(states, "batch_1"),
+        retail.batch_state(states, "batch_2"),
         ["customer_id"],
         retail.TRACKED,
         retail.CARRIED,
@@ -237,7 +237,7 @@ def dim_customer_fold(spark, sf):
     attributes = [*retail.CARRIED, *retail.TRACKED]
     history = hist.empty_history(spark, [fields["customer_id"]], [fields[a] for a in attributes])
     for batch in ("batch_1", "batch_2", "batch_2"):
-        snapshot = states.filter(F.col("_batch_id") == batch)
+        snapshot = retail.batch_state(states, batch)
         history = hist.scd2_fold(
             history, snapshot, ["customer_id"], retail.TRACKED, retail.CARRIED, "_effective"
         )

@@ -14,7 +14,7 @@ def same(left: Sequence[Column], right: Sequence[Column]) -> Column:
 
 
 def row_fingerprint(columns: Sequence[str]) -> Column:
-    """md5 over the values of ``columns``.
+    """md5 over the values of ``columns``, as 16 bytes.
 
     Every value is written with its length in front and NULL as a mark of its own, so
     different rows never write the same text: neither (a, NULL, b) and (a, b, NULL) nor
@@ -26,4 +26,4 @@ def row_fingerprint(columns: Sequence[str]) -> Column:
         parts.append(
             F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("~"))
         )
-    return F.md5(F.concat_ws("|", *parts))
+    return F.unhex(F.md5(F.concat_ws("|", *parts)))

@@ -60,8 +60,9 @@ def content_check(
 ) -> DataFrame:
     """Per key: different row contents and variants that have it.
 
-    A key passes when all variants have it and all agree. Which variants have a key is one
-    bit each, so a single distinct count remains; copies are merged before the shuffle.
+    A key passes when all variants have it and all agree. Which variants have a row is one
+    bit each; equal rows are merged in the map tasks before each of the two shuffles, so any
+    number of copies of a key is harmless.
     """
     names = list(variants)
     if len(names) > 63:

@@ -58,16 +58,17 @@ def row_bytes(df: DataFrame) -> Column | None:
     return sum(varying, F.lit(fixed)).cast("long")
 
 
-def measure(df: DataFrame, keys: Sequence[str]) -> tuple[int | None, int]:
+def measure(df: DataFrame, keys: Sequence[str] = ()) -> tuple[int | None, int]:
     """Bytes of ``df`` as it is now (None if unknown) and rows of its most frequent key.
 
-    One job over ``df``, counted per key in the map tasks first. Give it only the columns
-    that are to travel.
+    One job over ``df``; without keys it moves nothing but totals, with keys rows are counted
+    per key in the map tasks first. Give it only the columns that are to travel.
     """
     width = row_bytes(df)
-    size = F.lit(0).cast("long") if width is None else F.sum(width)
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), size.alias("b"))
-    total = per_key.agg(F.sum("b").alias("b"), F.max("n").alias("n")).first()
+    size = F.sum(F.lit(0) if width is None else width)
+    counted = df.groupBy(*keys) if keys else df
+    parts = counted.agg(F.count(F.lit(1)).alias("n"), size.alias("b"))
+    total = parts.agg(F.sum("b").alias("b"), F.max("n").alias("n")).first() if keys else parts.first()
     return (None if width is None else total["b"] or 0), total["n"] or 0
 
 
@@ -80,7 +81,7 @@ def fits_broadcast(
     """
     if limit <= 0:
         return False
-    size, most = measure(df, keys)
+    size, most = measure(df, keys if per_key is not None else ())
     return size is not None and size <= limit and (per_key is None or most <= per_key)
 
 

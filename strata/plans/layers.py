@@ -121,8 +121,8 @@ def run_batch(
         if len(dates) != 2 or encoding != "closed":
             raise ValueError("a comparison takes two batches and gives closed validity")
         (old_batch, old_from), (new_batch, new_from) = sorted(dates.items(), key=lambda d: d[1])
-        old = versions.filter(F.col("_batch_id") == old_batch)
-        new = versions.filter(F.col("_batch_id") == new_batch)
+        old = retail.batch_state(versions, old_batch)
+        new = retail.batch_state(versions, new_batch)
         history = scd2_compare(old, new, ["customer_id"], tracked, carried, old_from, new_from)
     else:
         raise ValueError(f"unknown method {method}")

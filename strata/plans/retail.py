@@ -113,10 +113,18 @@ def silver(raw: DataFrame, entity: str, id_type: str = "int") -> DataFrame:
 def customer_versions(
     raw: DataFrame, dates: Mapping[str, date], id_type: str = "int"
 ) -> DataFrame:
-    """Every batch's state of every customer, cleaned and dated."""
+    """Every batch's states of every customer, cleaned and dated.
+
+    A customer may occur twice in a batch; the history settles that by the values.
+    """
     rows = with_keys(typed(raw, "customers", id_type), KEYS["customers"])
-    dated = rows.withColumn("_effective", effective_date("_batch_id", dict(dates)))
-    return latest_wins(dated, ["customer_id", "_batch_id"], [*CARRIED, *TRACKED])
+    return rows.withColumn("_effective", effective_date("_batch_id", dict(dates)))
+
+
+def batch_state(versions: DataFrame, batch: str) -> DataFrame:
+    """One batch of :func:`customer_versions` with one row per customer."""
+    rows = versions.filter(F.col("_batch_id") == batch)
+    return latest_wins(rows, KEYS["customers"], [*CARRIED, *TRACKED])
 
 
 def dim_customer(history: DataFrame, encoding: str = "closed") -> DataFrame:

@@ -42,16 +42,20 @@ def apply_changes(
     log_path, history_path = f"{target}/log", f"{target}/history"
     bucket = F.pmod(key_hash(keys), F.lit(buckets)).cast("int")
 
+    def spread_over_writers(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+        """Few files per bucket, but never all rows of a hot bucket in one task."""
+        writer = F.pmod(F.xxhash64(*columns), F.lit(writers_per_bucket))
+        return rows.repartition(F.col(BUCKET), writer)
+
     def absorb(batch: DataFrame, _: int) -> None:
         rows = with_keys(batch.select(*wanted), [*keys, sequence]).withColumn(BUCKET, bucket)
-        # Few files per bucket, but never all rows of a hot bucket in one task.
-        writer = F.pmod(F.xxhash64(*wanted), F.lit(writers_per_bucket))
-        spread = rows.repartition(F.col(BUCKET), writer)
-        spread.write.mode("append").partitionBy(BUCKET).parquet(log_path)
+        spread_over_writers(rows, wanted).write.mode("append").partitionBy(BUCKET).parquet(
+            log_path
+        )
         touched = [row[BUCKET] for row in rows.select(BUCKET).distinct().collect()]
         if not touched:
             return
-        log = batch.sparkSession.read.schema(spread.schema).parquet(log_path)
+        log = batch.sparkSession.read.schema(rows.schema).parquet(log_path)
         history = scd2_history(
             log.filter(F.col(BUCKET).isin(*touched)),
             keys,
@@ -63,8 +67,9 @@ def apply_changes(
             untracked,
             hot_rows,
         )
+        placed = history.withColumn(BUCKET, bucket)
         (
-            history.withColumn(BUCKET, bucket)
+            spread_over_writers(placed, history.columns)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(BUCKET)
