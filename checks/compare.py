@@ -53,6 +53,7 @@ def compare(spark, con, sf_dir, fn, sql):
 def main(sf_dir, *names):
     from checks.oracle import ORACLE
     from checks.queries import QUERIES
+    from strata.scratch import drop_scratch
     from strata.session import build_session
 
     spark = build_session("compare", "local[8]", 8, **{"spark.driver.memory": "12g", "spark.ui.showConsoleProgress": "false"})
@@ -67,6 +68,7 @@ def main(sf_dir, *names):
             found = f"{type(error).__name__}: {str(error)[:600]}"
         bad += found is not None
         print(f"{name:34s} {time.time() - began:6.2f}s  {found or 'ok'}", flush=True)
+    drop_scratch(spark)
     missing = set(QUERIES) - set(ORACLE), set(ORACLE) - set(QUERIES)
     print(f"{bad} differ; without SQL: {sorted(missing[0])}; without query: {sorted(missing[1])}")
 

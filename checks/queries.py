@@ -281,7 +281,9 @@ def event_type_history(spark, sf):
 
 @query
 def event_history_first_policy(spark, sf):
-    return _event_history(spark, sf, carried=["value", "event_id"], untracked="first")
+    events = table(spark, sf, "events")
+    carried = hist.carried_except(events, ["user_id"], ["event_type"], leave_out=["ts", "props"])
+    return _event_history(spark, sf, carried=carried, untracked="first")
 
 
 @query
@@ -494,7 +496,8 @@ def content_check_product(spark, sf):
         "unit_price", raised.cast("decimal(10,2)")
     )
     columns = ["product_name", "category", "subcategory", "unit_price"]
-    return reconcile.content_check({"ours": products, "theirs": other}, ["product_id"], columns)
+    variants = {"ours": products, "theirs": other}
+    return reconcile.content_check(variants, ["product_id"], columns, ordered=True)
 
 
 @query

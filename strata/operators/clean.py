@@ -14,8 +14,10 @@ def standardize(df: DataFrame, rules: Mapping[str, Column], keep: Sequence[str]
 
 
 def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows in which no key column is NULL."""
-    return df.dropna(how="any", subset=list(keys))
+    """Rows in which no key column is NULL; the scan can skip the others."""
+    for key in keys:
+        df = df.filter(F.col(key).isNotNull())
+    return df
 
 
 def latest_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:

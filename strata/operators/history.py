@@ -71,6 +71,13 @@ def end_by_next(df: DataFrame, keys: Sequence[str], start: str, encoding: str) -
     return encode(ended, start, "_end", encoding)
 
 
+def carried_except(
+    df: DataFrame, keys: Sequence[str], tracked: Sequence[str], leave_out: Sequence[str] = ()
+) -> list[str]:
+    """All columns of ``df`` that are neither keys nor tracked nor in ``leave_out``."""
+    return [c for c in df.columns if c not in {*keys, *tracked, *leave_out}]
+
+
 # --- type 1 ------------------------------------------------------------------------------
 
 
@@ -100,6 +107,8 @@ def _versions(
         # Several rows of one key at one point of the sequence: the last one counts.
         df = neighbour(df, keys, order, F.col(sequence), "_next", back=False)
         df = df.filter(~F.col("_next").eqNullSafe(F.col(sequence))).drop("_next")
+    # From here on the sequence alone orders the rows of a key.
+    order = [sequence]
     state = F.struct(*_columns(tracked), F.lit(True).alias("_present"))
     df = neighbour(df, keys, order, state, "_before", back=True)
     df = df.withColumn("_starts", ~state.eqNullSafe(F.col("_before"))).drop("_before")
@@ -137,12 +146,15 @@ def scd2_history(
 ) -> DataFrame:
     """Versions of every key out of any number of change rows in any arrival order.
 
+    ``carried`` may come from :func:`carried_except`.
+
     ``untracked`` says what a version shows in its carried columns: those of its ``first`` row
     or of its ``latest`` one. Rows without key or sequence are left out. ``tiebreak`` settles
     which of several rows at one point of the sequence counts; by default all columns do.
 
     Keys take one shuffle and one sort for all windows together. The rows of a key beyond
-    ``hot_rows`` are cut into range slices instead, each handled by a task of its own.
+    ``hot_rows`` are cut into range slices instead, each handled by a task of its own. Looking
+    for such keys reads the key columns of ``df`` once more, so give it stored rows.
     """
     if untracked not in ("first", "latest"):
         raise ValueError(f"unknown policy {untracked}")

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.clean import with_keys
 from strata.operators.history import END_AT, START_AT, VALID_FROM, VALID_TO
 from strata.operators.ordered import carried_forward, range_slices
 from strata.operators.skew import (
@@ -84,7 +85,8 @@ def lookup_scd2(
         F.col(start).alias("_start"),
         F.col(end).alias("_end"),
         *[F.col(d).alias(name) for name, d in take.items()],
-    ).dropna(subset=[*keys, "_start"])
+    )
+    side = with_keys(side, [*keys, "_start"])
     start_type = dict(side.dtypes)["_start"]
     if types[at] != start_type and (types[at], start_type) != ("date", "timestamp"):
         raise ValueError(f"{at} is {types[at]} but versions start at a {start_type}")

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from strata.operators.clean import with_keys
+
 REPORT = "table_name string, test string, column_name string, failures bigint"
 
 
@@ -101,7 +103,7 @@ def _report(counts: DataFrame, table: str, test: str, column: str, failures: Col
 
 def unique(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
     """How many key values occur more than once; NULL keys are not counted."""
-    repeated = df.dropna(subset=list(keys)).groupBy(*keys).count().filter("count > 1")
+    repeated = with_keys(df, keys).groupBy(*keys).count().filter("count > 1")
     return _report(repeated, table, "unique", ", ".join(keys), F.count(F.lit(1)))
 
 
@@ -112,7 +114,7 @@ def relationships(
 
     Child rows are counted per value before the join, so a hot value crosses it as one row.
     """
-    values = child.dropna(subset=[column]).groupBy(F.col(column).alias("k")).count()
+    values = with_keys(child, [column]).groupBy(F.col(column).alias("k")).count()
     known = parent.select(F.col(parent_column).alias("k"))
     orphans = values.join(known, "k", "left_anti")
     return _report(orphans, table, "relationships", column, F.sum("count"))

@@ -31,7 +31,7 @@ def row_counts(tables: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
         for (variant, table), df in tables.items()
     ]
     counted = reduce(DataFrame.unionByName, ones, named).groupBy("variant", "table_name")
-    return counted.agg(F.sum("one").alias("row_count"))
+    return counted.agg(F.sum("one").alias("row_count")).orderBy("table_name", "variant")
 
 
 def expected_counts(spark, expected: Mapping[str, int]) -> DataFrame:
@@ -47,9 +47,10 @@ def count_check(
     counts = row_counts(tables)
     wanted = expected_counts(counts.sparkSession, expected)
     matches = F.col("row_count") == F.col("expected_rows")
-    return counts.join(F.broadcast(wanted), "table_name").select(
+    checked = counts.join(F.broadcast(wanted), "table_name").select(
         "table_name", "variant", "expected_rows", "row_count", _verdict(matches).alias("status")
     )
+    return checked.orderBy("table_name", "variant")
 
 
 def content_check(
@@ -57,8 +58,9 @@ def content_check(
     keys: Sequence[str],
     columns: Sequence[str],
     only_mismatches: bool = False,
+    ordered: bool = False,
 ) -> DataFrame:
-    """Per key: different row contents and variants that have it.
+    """Per key: different row contents and variants that have it; sorted by key if ``ordered``.
 
     A key passes when all variants have it and all agree. Which variants have a row is one
     bit each; equal rows are merged in the map tasks before each of the two shuffles, so any
@@ -83,7 +85,9 @@ def content_check(
     )
     agreed = (F.col("distinct_hashes") == 1) & (F.col("variant_count") == len(names))
     checked = per_key.withColumn("status", _verdict(agreed))
-    return checked.filter(F.col("status") == FAIL) if only_mismatches else checked
+    if only_mismatches:
+        checked = checked.filter(F.col("status") == FAIL)
+    return checked.orderBy(*keys) if ordered else checked
 
 
 def summary(checks: DataFrame) -> DataFrame:
@@ -98,6 +102,5 @@ def summary(checks: DataFrame) -> DataFrame:
         F.array_join(F.array_sort(F.collect_list(failing)), ", ").alias("failing_variants"),
     )
     all_pass = F.col("variants_passing") == F.col("total_variants")
-    return per_table.withColumn(
-        "overall_status", F.when(all_pass, "ALL PASS").otherwise("SOME FAIL")
-    )
+    overall = F.when(all_pass, "ALL PASS").otherwise("SOME FAIL")
+    return per_table.withColumn("overall_status", overall).orderBy("table_name")

@@ -311,6 +311,19 @@ def test_declared_tests(spark):
     ]
 
 
+def test_relationships_count_per_value_before_a_large_join(spark):
+    child = spark.range(1000).selectExpr("id % 3 AS f")
+    parent = spark.range(2).selectExpr("id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = quality.relationships(child, "c", "f", parent, "id")
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("LeftAnti") < plan.index("Aggregate [f")
+        assert df.first()["failures"] == 333
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_tests_on_an_empty_table(spark):
     empty = spark.createDataFrame([], "k int")
     found = quality.report(
