@@ -348,7 +348,7 @@ def fact_half_open(spark, sf):
 @query
 def fact_without_broadcast(spark, sf):
     """The fact as built when no dimension fits in memory and many keys are hot."""
-    return _fact(spark, sf, "closed", broadcast_bytes=0, hot_rows=12)
+    return _fact(spark, sf, "closed", broadcast_bytes=0, hot_rows=6)
 
 
 @query

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.dates import date_key
-from strata.operators.dims import surrogate_key
 from strata.operators.lookup import lookup, lookup_scd2
-from strata.operators.skew import BROADCAST_BYTES, HOT_ROWS, hot_hashes, salted_join
+from strata.operators.ordered import dense_numbers, group_starts
+from strata.operators.skew import BROADCAST_BYTES, HOT_ROWS, hot_hashes, is_hot
 from strata.parallel import together
 
 MEASURES = ["quantity", "unit_price", "discount_pct", "line_amount"]
@@ -28,7 +28,11 @@ def build_fact(
     A line without an order is left out; a customer or product that is not found is NULL.
 
     The customer is looked up per order, before the orders fan out into lines: far fewer rows
-    search the history. Give stored tables: they are measured here before they are joined.
+    search the history. Fact rows are numbered in the order of order and line by adding a line's
+    place in its order to the rows of earlier orders, which are counted on order numbers alone;
+    the lines themselves travel once, to their order. Orders beyond ``hot_rows`` lines are
+    numbered by a sort over all tasks instead. Give stored tables: they are read for the counts
+    before they are joined.
     """
 
     def priced() -> DataFrame:
@@ -61,13 +65,38 @@ def build_fact(
         {
             "lines": priced,
             "headers": headers,
+            "starts": lambda: _first_numbers(lines, orders),
             "hot": lambda: hot_hashes(lines, ["order_id"], hot_rows),
         }
     )
-    rows = salted_join(found["lines"], found["headers"], ["order_id"], "inner", hot=found["hot"])
-    rows = rows.select(
+    rows = found["lines"]
+    header = found["headers"].join(found["starts"], "order_id")
+    hot = found["hot"]
+    in_order = Window.partitionBy("order_id").orderBy("line_id")
+    place = F.row_number().over(in_order)
+    if not hot:
+        return _numbered(rows.join(header, "order_id"), place)
+
+    large = is_hot(["order_id"], hot)
+    usual = _numbered(rows.filter(~large).join(header.filter(~large), "order_id"), place)
+    # One header per hot order, and the list of hot orders is bounded: safe to broadcast.
+    spread = rows.filter(large).join(F.broadcast(header.filter(large)), "order_id")
+    spread = dense_numbers(spread, ["order_id", "line_id"], "_number")
+    firsts = spread.groupBy("order_id").agg(F.min("_number").alias("_first"))
+    spread = spread.join(F.broadcast(firsts), "order_id")
+    return usual.unionByName(_numbered(spread, F.col("_number") - F.col("_first") + 1))
+
+
+def _first_numbers(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """Per order with lines: how many fact rows come before it."""
+    sizes = lines.groupBy("order_id").agg(F.count(F.lit(1)).alias("_lines"))
+    return group_starts(orders.select("order_id").join(sizes, "order_id"), "order_id", "_lines", "_start")
+
+
+def _numbered(rows: DataFrame, place: Column) -> DataFrame:
+    return rows.select(
+        (F.col("_start") + place).cast("bigint").alias("order_line_sk"),
         *["order_id", "line_id", "customer_sk", "product_sk", "order_date_key"],
         *MEASURES,
         "order_status",
     )
-    return surrogate_key(rows, ["order_id", "line_id"], "order_line_sk")

@@ -32,22 +32,39 @@ def range_slices(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return materialise(numbered, "slices")
 
 
+def _slice_starts(stored: DataFrame, size: Column) -> DataFrame:
+    """Per slice the total of ``size`` in all earlier ones; one row per task of the sort."""
+    sizes = stored.groupBy(SLICE).agg(size.alias("_size"))
+    earlier = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_size").over(earlier), F.lit(0))
+    return sizes.select(SLICE, before.cast("bigint").alias("_before"))
+
+
 def dense_numbers(df: DataFrame, by: Sequence[str], name: str) -> DataFrame:
     """``df`` with 1..n in the order of ``by`` in front, as BIGINT.
 
-    ``by`` should be unique; ties are numbered in no particular order. The table of slice
-    sizes has one row per task of the sort, which bounds the window and the broadcast.
+    ``by`` should be unique; ties are numbered in no particular order.
     """
     stored = range_slices(df, by)
-    sizes = stored.groupBy(SLICE).agg(F.count(F.lit(1)).alias("_size"))
-    earlier = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        SLICE, F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start")
-    )
-    number = F.col("_start") + F.col(PLACE) + 1
-    return stored.join(F.broadcast(starts), SLICE).select(
-        number.cast("bigint").alias(name), *df.columns
+    starts = _slice_starts(stored, F.count(F.lit(1)))
+    number = F.col("_before") + F.col(PLACE) + 1
+    return stored.join(F.broadcast(starts), SLICE).select(number.alias(name), *df.columns)
+
+
+def group_starts(groups: DataFrame, key: str, size: str, name: str) -> DataFrame:
+    """Per group the total ``size`` of all groups with a smaller ``key``; one row per group.
+
+    Numbers the rows of groups in the order of their keys without sorting the rows: the
+    number of a row is the start of its group plus its place in the group.
+    """
+    stored = range_slices(groups.select(key, size), [key])
+    starts = _slice_starts(stored, F.sum(size))
+    inside = Window.partitionBy(SLICE).orderBy(PLACE).rowsBetween(Window.unboundedPreceding, -1)
+    within = stored.select(
+        key, SLICE, F.coalesce(F.sum(size).over(inside), F.lit(0)).alias("_within")
     )
+    start = F.col("_before") + F.col("_within")
+    return within.join(F.broadcast(starts), SLICE).select(key, start.alias(name))
 
 
 def neighbour(

@@ -16,7 +16,9 @@ from strata.functions.money import line_amount
 from strata.operators import quality, reconcile
 from strata.operators.clean import latest_wins, latest_wins_aggregated
 from strata.operators.dims import date_dimension, surrogate_key
+from strata.operators.fact import build_fact
 from strata.operators.lookup import lookup, lookup_scd2
+from strata.operators.ordered import group_starts
 from strata.operators.skew import fits_broadcast, hot_hashes, measure, salted_join
 from strata.plans import retail
 
@@ -150,6 +152,47 @@ def test_surrogate_keys_are_dense_and_in_order(spark):
     assert found == [(n, *row) for n, row in enumerate(sorted(listed), 1)]
 
 
+def test_group_starts(spark):
+    sizes = [(k, random.randrange(1, 9)) for k in range(300)]
+    df = spark.createDataFrame(random.sample(sizes, 300), "k int, n bigint").repartition(5)
+    with spark_slices(spark, 7):
+        found = rows(group_starts(df, "k", "n", "start"))
+    assert found == [(k, sum(n for _, n in sizes[:k])) for k in range(300)]
+
+
+@pytest.mark.parametrize("hot_rows", [10**6, 40, 1])
+def test_fact_with_a_hot_order(spark, hot_rows):
+    """One order with a third of all lines, lines without order, orders without lines."""
+    chance = random.Random(6)
+    keys = [(9, n) for n in range(100)]
+    keys += [(k, n) for k in range(60) if k != 9 for n in range(chance.randrange(0, 6))]
+    chance.shuffle(keys)
+    cents = Decimal("1.00")
+    lines = spark.createDataFrame(
+        [(o, n, (o + n) % 5, 1, cents, cents, cents) for o, n in keys],
+        "order_id int, line_id int, product_id int, quantity int, unit_price decimal(10,2), "
+        "discount_pct decimal(5,2), line_amount decimal(12,2)",
+    ).repartition(4)
+    day = date(2024, 2, 1)
+    orders = spark.createDataFrame(
+        [(o, o % 3, day, "done") for o in range(0, 60) if o % 7],
+        "order_id int, customer_id int, order_date date, status string",
+    )
+    customers = spark.createDataFrame(
+        [(c + 10, c, date(2024, 1, 1), OPEN) for c in range(2)],
+        "customer_sk bigint, customer_id int, valid_from date, valid_to date",
+    )
+    products = spark.createDataFrame([(p + 20, p) for p in range(4)], "product_sk bigint, product_id int")
+    with spark_slices(spark, 5):
+        fact = build_fact(lines, orders, customers, products, hot_rows=hot_rows)
+        found = rows(fact.select("order_line_sk", "order_id", "line_id", "customer_sk", "product_sk"))
+    expected = [
+        (n, o, l, o % 3 + 10 if o % 3 < 2 else None, (o + l) % 5 + 20 if (o + l) % 5 < 4 else None)
+        for n, (o, l) in enumerate(sorted(k for k in keys if k[0] % 7), 1)
+    ]
+    assert found == expected
+
+
 def test_surrogate_keys_of_nothing(spark):
     assert surrogate_key(spark.range(0), ["id"], "sk").collect() == []
 
