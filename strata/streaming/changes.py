@@ -26,7 +26,7 @@ def apply_changes(
     encoding: str = "half_open",
     untracked: str = "latest",
     buckets: int = 64,
-    writers_per_bucket: int = 4,
+    rows_per_file: int = 1_000_000,
     hot_rows: int = HOT_ROWS,
 ) -> None:
     """Take in all available change rows, then stop.
@@ -34,30 +34,31 @@ def apply_changes(
     ``target/log`` holds every change row and ``target/history`` the versions, both in folders
     by a hash of the key. A micro-batch appends to the log and derives the history of the
     buckets it touches anew from the log. Nothing reads what is being overwritten, so a batch
-    that failed half-way or is delivered twice comes out the same. One writer per target; give
-    it about as many buckets as one bucket's log fits a few tasks.
+    that failed half-way or is delivered twice comes out the same. One writer per target.
+    Choose ``buckets`` once, so that one bucket's log is a few tasks' work.
     """
     keys, tracked, carried = list(keys), list(tracked), list(carried)
     wanted = list(dict.fromkeys([*keys, *carried, *tracked, sequence, *tiebreak]))
     log_path, history_path = f"{target}/log", f"{target}/history"
     bucket = F.pmod(key_hash(keys), F.lit(buckets)).cast("int")
-
-    def spread_over_writers(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-        """Few files per bucket, but never all rows of a hot bucket in one task."""
-        writer = F.pmod(F.xxhash64(*columns), F.lit(writers_per_bucket))
-        return rows.repartition(F.col(BUCKET), writer)
+    # The log is read in the caller's session, with adaptive execution if that has it.
+    spark = stream.sparkSession
 
     def absorb(batch: DataFrame, _: int) -> None:
         rows = with_keys(batch.select(*wanted), [*keys, sequence]).withColumn(BUCKET, bucket)
-        spread_over_writers(rows, wanted).write.mode("append").partitionBy(BUCKET).parquet(
-            log_path
-        )
-        touched = [row[BUCKET] for row in rows.select(BUCKET).distinct().collect()]
-        if not touched:
+        # At most one row per bucket comes to the driver.
+        sizes = {r[BUCKET]: r["count"] for r in rows.groupBy(BUCKET).count().collect()}
+        if not sizes:
             return
-        log = batch.sparkSession.read.schema(rows.schema).parquet(log_path)
+        # One file for an ordinary bucket, as many writers as it needs for a hot one.
+        writers = [1 + sizes.get(b, 0) // rows_per_file for b in range(buckets)]
+        writer = F.pmod(F.xxhash64(*wanted), F.array(*map(F.lit, writers))[F.col(BUCKET)])
+        placed = rows.repartition(F.col(BUCKET), writer)
+        placed.write.mode("append").partitionBy(BUCKET).parquet(log_path)
+
+        log = spark.read.schema(rows.schema).parquet(log_path)
         history = scd2_history(
-            log.filter(F.col(BUCKET).isin(*touched)),
+            log.filter(F.col(BUCKET).isin(*sizes)),
             keys,
             sequence,
             tracked,
@@ -67,10 +68,10 @@ def apply_changes(
             untracked,
             hot_rows,
         )
-        placed = history.withColumn(BUCKET, bucket)
+        # Rebalancing merges the small pieces of a bucket and splits those of a hot one.
+        whole = history.withColumn(BUCKET, bucket).hint("rebalance", F.col(BUCKET))
         (
-            spread_over_writers(placed, history.columns)
-            .write.mode("overwrite")
+            whole.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(BUCKET)
             .parquet(history_path)

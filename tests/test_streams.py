@@ -5,7 +5,7 @@ import random
 import pytest
 from fixtures import BATCHES, rows, write_raw
 from pyspark.sql import functions as F
-from test_history import FEED, brute_force, random_feed
+from test_history import FEED, brute_force, random_feed, spark_slices
 
 from strata.plans import retail
 from strata.scratch import drop_scratch, materialise, scratch_path, scratch_root
@@ -146,8 +146,14 @@ def test_hot_key_in_a_stream(spark, tmp_path):
     listed = random_feed(10, size=300)
     feed, target = str(tmp_path / "feed"), str(tmp_path / "target")
     schema = feed_files(spark, feed, listed, 1)
-    found = apply(spark, feed, schema, target, str(tmp_path / "s"), hot_rows=60)
+    with spark_slices(spark, 8):
+        found = apply(
+            spark, feed, schema, target, str(tmp_path / "s"), hot_rows=60, rows_per_file=40
+        )
     assert found == brute_force(listed, "latest")
+    # The bucket of the hot key is written by several tasks.
+    folders = (tmp_path / "target" / "log").glob("_bucket=*")
+    assert max(len(list(folder.glob("*.parquet"))) for folder in folders) > 1
 
 
 # --- stored tables -----------------------------------------------------------------------
