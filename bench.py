@@ -122,7 +122,25 @@ def naive_counts(spark, sf):
     return spark.createDataFrame(found, "variant string, table_name string, row_count bigint")
 
 
+def naive_latest(spark, sf):
+    """The last event per user by joining the largest place back."""
+    events = table(spark, sf, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    last = events.groupBy("user_id").agg(F.max(F.struct("ts", "event_id")).alias("m"))
+    last = last.select("user_id", "m.ts", "m.event_id")
+    return events.join(last, ["user_id", "ts", "event_id"])
+
+
+def naive_content(spark, sf):
+    ours = _silver(spark, sf, "products").withColumn("variant", F.lit("ours"))
+    both = ours.unionByName(ours.withColumn("variant", F.lit("theirs")))
+    columns = ["product_name", "category", "subcategory", F.col("unit_price").cast("string")]
+    hashed = both.select("product_id", "variant", F.md5(F.concat_ws("|", *columns)).alias("h"))
+    return hashed.groupBy("product_id").agg(F.count_distinct("h"), F.count_distinct("variant"))
+
+
 NAIVE = {
+    "latest_wins_events_aggregated": naive_latest,
+    "content_check_product": naive_content,
     "surrogate_keys_lines": naive_surrogate_keys,
     "dim_customer_compare": naive_compare,
     "fact_closed": naive_fact,

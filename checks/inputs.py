@@ -87,12 +87,12 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     shipped = (F.year("l_shipdate") - 1994).cast("string")
     return table(spark, sf_dir, "lineitem").select(
-        _text("l_orderkey").alias("order_id"),
-        _text("l_linenumber").alias("line_id"),
-        _text("l_partkey").alias("product_id"),
-        _text(F.col("l_quantity").cast("int")).alias("quantity"),
-        _text(F.col("l_extendedprice").cast("decimal(10,2)")).alias("unit_price"),
-        _text(F.col("l_discount").cast("decimal(5,2)") * 100).alias("discount_pct"),
+        F.col("l_orderkey").cast("string").alias("order_id"),
+        F.col("l_linenumber").cast("string").alias("line_id"),
+        F.col("l_partkey").cast("string").alias("product_id"),
+        F.col("l_quantity").cast("int").cast("string").alias("quantity"),
+        F.col("l_extendedprice").cast("decimal(10,2)").cast("string").alias("unit_price"),
+        (F.col("l_discount").cast("decimal(5,2)") * 100).cast("string").alias("discount_pct"),
         F.concat(F.lit("batch_"), shipped).alias("_batch_id"),
     )
 

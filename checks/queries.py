@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from checks.inputs import DATES, RAW, table
 from strata.functions.batches import batch_number
+from strata.functions.text import parsed
 from strata.operators import history as hist
 from strata.operators import quality, reconcile
 from strata.operators.clean import (
@@ -100,10 +101,13 @@ def line_amounts(spark, sf):
 @query
 def unreadable_values(spark, sf):
     """Values that are no numbers become NULL and are counted, never an error."""
-    rows = table(spark, sf, "events").select("event_type", F.col("props").alias("amount"))
-    rows = rows.withColumn("text", F.when(F.col("event_type") == "view", "12").otherwise("x 1"))
-    parsed = rows.withColumn("number", F.trim("text").try_cast("int"))
-    return parsed.groupBy("event_type").agg(
+    identifier = F.concat(
+        F.when(F.col("event_type") == "view", F.lit(" ")).otherwise(F.lit("no. ")),
+        F.col("event_id").cast("string"),
+    )
+    rows = table(spark, sf, "events").select("event_type", identifier.alias("text"))
+    numbers = rows.select("event_type", parsed("text", "bigint").alias("number"))
+    return numbers.groupBy("event_type").agg(
         F.count("*").alias("n"), F.count("number").alias("readable")
     )
 

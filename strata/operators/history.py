@@ -65,10 +65,21 @@ def to_half_open(df: DataFrame) -> DataFrame:
     return df.select(*others, F.col(VALID_FROM).alias(START_AT), next_start.alias(END_AT))
 
 
-def end_by_next(df: DataFrame, keys: Sequence[str], start: str, encoding: str) -> DataFrame:
+def end_by_next(
+    df: DataFrame, keys: Sequence[str], start: str, encoding: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """History out of version starts alone: a version ends where the next one begins."""
-    ended = neighbour(df, keys, [start], F.col(start), "_end", back=False)
-    return encode(ended, start, "_end", encoding)
+
+    def ended(rows: DataFrame) -> DataFrame:
+        found = neighbour(rows, keys, [start], F.col(start), "_end", back=False)
+        return found.select(*df.columns, "_end")
+
+    hot = hot_hashes(df, keys, hot_rows)
+    if not hot:
+        return encode(ended(df), start, "_end", encoding)
+    large = range_slices(df.filter(is_hot(keys, hot)), [*keys, start])
+    both = ended(df.filter(~is_hot(keys, hot))).unionByName(ended(large))
+    return encode(both, start, "_end", encoding)
 
 
 def carried_except(

@@ -135,6 +135,18 @@ def test_encodings_convert_into_each_other(spark):
     assert rows(hist.end_by_next(starts, ["id"], "start", "closed")) == rows(closed)
 
 
+@pytest.mark.parametrize("hot_rows", [10**6, 50, 1])
+def test_starts_of_a_hot_key(spark, hot_rows):
+    listed = [(0 if n % 3 == 0 else n % 7 + 1, n) for n in range(300)]
+    df = spark.createDataFrame(listed, "k int, at int").repartition(5)
+    with spark_slices(spark, 6):
+        found = hist.end_by_next(df, ["k"], "at", "half_open", hot_rows)
+        found = sorted((tuple(r) for r in found.collect()), key=lambda r: r[:2])
+    listed.sort()
+    after = [b[1] if a[0] == b[0] else None for a, b in zip(listed, [*listed[1:], (None, None)])]
+    assert found == [(*row, end) for row, end in zip(listed, after)]
+
+
 def test_unknown_names_are_refused(spark):
     df = states(spark, (1, "a", "x", D1))
     with pytest.raises(ValueError, match="policy"):
