@@ -44,7 +44,12 @@ def hot_hashes(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) ->
 
 
 def is_hot(keys: Sequence[str], hashes: Sequence[int]) -> Column:
-    return key_hash(keys).isin(*hashes) if hashes else F.lit(False)
+    """Whether a row's key is among ``hashes``; one hash set lookup per row."""
+    if not hashes:
+        return F.lit(False)
+    # Written as SQL text: thousands of literals one by one would take seconds to pass over.
+    names = ", ".join("`" + k.replace("`", "``") + "`" for k in keys)
+    return F.expr(f"xxhash64({names}) IN ({', '.join(f'{h}L' for h in hashes)})")
 
 
 def row_bytes(df: DataFrame) -> Column | None:
