@@ -16,9 +16,28 @@ SPACE = r"[\x20\x09-\x0D]+"
 HOT_PARTS = 2000
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; the operators over it find their Python code on the executors."""
+def prepared(spark: SparkSession) -> None:
+    """Ready a session for Python functions over long texts.
+
+    The package goes to the executors, and batches of rows for Python stay small: texts may be
+    long, and a batch is held several times over. Settings other than Spark's own stay.
+    """
     ship_package(spark)
+    for name, (usual, small) in _BATCHES.items():
+        if spark.conf.get(name) == usual:
+            spark.conf.set(name, small)
+
+
+# Spark's own settings and those used instead.
+_BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"),
+    "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8388608b"),
+}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table, in a session that is ready for the operators over it."""
+    prepared(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -8,8 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import exact, planes, simhash
-from strata.llm.common import documents
+from strata.llm import (
+    compression,
+    exact,
+    lattice,
+    lines,
+    mixing,
+    packing,
+    pages,
+    planes,
+    secret_scan,
+    simhash,
+)
+from strata.llm.common import documents, table
 from strata.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +55,67 @@ def op3_exact_refined(spark, sf_dir):
     return exact.exact_groups(documents(spark, sf_dir), digests=True)
 
 
+@query
+def op4_compression_quality(spark, sf_dir):
+    """Quality score of every document, learnt from two thirds of the labels."""
+    return compression.quality_scores(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_line_first(spark, sf_dir):
+    """Base rules and verdict of the line rules on every document."""
+    return lines.line_first(documents(spark, sf_dir)).drop("cleaned")
+
+
+@query
+def op6_bin_completion(spark, sf_dir):
+    """Places of all pieces of documents in sequences of 2048 tokens."""
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.packed(documents(spark, sf_dir), tokenizer, end_id=0).drop("ids")
+
+
+@query
+def op7_structural_secrets(spark, sf_dir):
+    """Secrets of every document: base patterns, and what decoding confirms."""
+    found = secret_scan.find_secrets(documents(spark, sf_dir))
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    def listed(spans):
+        named = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+        return F.array_join(named, ",")
+
+    base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
+    return found.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
+@query
+def op8_lattice_scores(spark, sf_dir):
+    """Log probability of every document by token counts and by the subword lattice."""
+    vocabulary = public_tokenizers.path("piece_bpe_32k.model")
+    return lattice.lattice_scores(documents(spark, sf_dir), vocabulary)
+
+
+@query
+def op9_flow_mixing(spark, sf_dir):
+    """What the mix of sources takes of every document."""
+    return mixing.mix(documents(spark, sf_dir)).drop("copies")
+
+
+@query
+def op10_tree_scoring(spark, sf_dir):
+    """Main text of every page."""
+    return pages.page_texts(table(spark, sf_dir, "pages"))
+
+
 ORACLE = {
     "op3_exact_refined": r"""
         WITH norm AS (
