@@ -88,11 +88,20 @@ def attach(
     return salted.join(repeated, [key, "_salt"], "left").drop("_salt")
 
 
-def without(docs: DataFrame, dropped: DataFrame, names: dict[str, Column]) -> DataFrame:
-    """``docs`` less the rows whose ``names`` (NULL-safe) are in ``dropped``, columns as before."""
-    left = docs.withColumns({f"_without_{n}": c for n, c in names.items()})
-    right = dropped.select(*[F.col(n).alias(f"_dropped_{n}") for n in names])
+def _matching(docs: DataFrame, rows: DataFrame, names: dict[str, Column], how: str) -> DataFrame:
+    left = docs.withColumns({f"_matching_{n}": c for n, c in names.items()})
+    right = rows.select(*[F.col(n).alias(f"_other_{n}") for n in names])
     same = F.lit(True)
     for n in names:
-        same = same & F.col(f"_without_{n}").eqNullSafe(F.col(f"_dropped_{n}"))
-    return left.join(right, same, "left_anti").select(*docs.columns)
+        same = same & F.col(f"_matching_{n}").eqNullSafe(F.col(f"_other_{n}"))
+    return left.join(right, same, how).select(*docs.columns)
+
+
+def without(docs: DataFrame, rows: DataFrame, names: dict[str, Column]) -> DataFrame:
+    """``docs`` less those whose ``names`` (NULL-safe) are in ``rows``, columns as before."""
+    return _matching(docs, rows, names, "left_anti")
+
+
+def within(docs: DataFrame, rows: DataFrame, names: dict[str, Column]) -> DataFrame:
+    """Those of ``docs`` whose ``names`` (NULL-safe) are in ``rows``, columns as before."""
+    return _matching(docs, rows, names, "left_semi")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import SPACE, attach, picked, without
+from strata.llm.common import SPACE, attach, picked, within, without
 from strata.scratch import materialise
 
 HEAD = 256
@@ -112,8 +112,6 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     repeated = groups.filter("kept").groupBy(key, "text_sha256").count().filter("count > 1")
     if repeated.isEmpty():
         return kept
-    twice = [F.col(c).eqNullSafe(F.col(f"_again_{c}")) for c in names]
-    marked = kept.withColumns({f"_again_{c}": expression for c, expression in names.items()})
-    again = marked.join(repeated.drop("count"), twice[0] & twice[1], "left_semi")
-    once = again.dropDuplicates([f"_again_{c}" for c in names]).select(*docs.columns)
+    again = within(kept, repeated, names).withColumns({f"_{n}": c for n, c in names.items()})
+    once = again.dropDuplicates([f"_{n}" for n in names]).select(*docs.columns)
     return without(kept, repeated, names).unionByName(once)

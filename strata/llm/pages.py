@@ -63,8 +63,8 @@ CONTAINERS = frozenset("div section ul ol dl table td p span header figure cente
 # --------------------------------------------------------------------------------------------
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(>|\Z)"
-    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(>|\Z)",
+    r"</?\Z|<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(>|\Z)"
+    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(>|[\"'].*\Z|\Z)",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -169,7 +169,7 @@ def parse(page: str) -> list[Node]:
         closing, _, opening, raw, closed = token.groups()
         if closing:
             built.close({closing.lower()})
-        elif opening and closed:  # a tag that the end of the page cuts off is none
+        elif opening and closed == ">":  # a tag that the end of the page cuts off is none
             tag = opening.lower()
             if tag in RAW:
                 rest = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, position)

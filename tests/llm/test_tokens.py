@@ -1,0 +1,184 @@
+"""Files of token ids and packing, against the tokenizer itself and exact search."""
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from strata.llm import packing, planes
+from strata.llm.encoding import Encoder
+from strata.scratch import scratch_path
+from tests.llm.fixtures import documents, empty, texts
+
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
+
+ODD = [
+    None, "", " ", "\n", "a  b", "x  \n\n y", "  lead", "trail  \n", "l\n\nm", "a\n b", "a \nb", "tab\tq \t r",
+    "İstanbul ΑΣ ΑΣ' ok", "é x ́y", "<|endoftext|> a<|endoftext|> b", "don't we'll", "中文 字", "\x1c x",
+    "a\x1c b", "a  b", "a  b", " ́ ̧y", "b ", "\U0001f600 ok",
+]
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_parts_have_the_ids_of_the_whole(path):
+    plain = Tokenizer.from_file(path)
+    rng = random.Random(2)
+    rows = ODD + ["".join(rng.choice(["a", "B", " ", "\n", "é", ".", " ", "\t"]) for _ in range(12)) for _ in range(300)]
+    found = [np.frombuffer(b, "<u4").tolist() for b in Encoder(path)(rows)]
+    assert found == [plain.encode(t or "", add_special_tokens=False).ids for t in rows]
+
+
+def test_what_a_worker_forgets_changes_nothing(monkeypatch):
+    monkeypatch.setattr("strata.llm.encoding.KEPT", 50)
+    monkeypatch.setattr("strata.llm.encoding._BLOCK", 200)
+    rows = [t for _, t in texts()]
+    plain = Tokenizer.from_file(BYTES)
+    found = [np.frombuffer(b, "<u4").tolist() for b in Encoder(BYTES)(rows)]
+    assert found == [plain.encode(t or "", add_special_tokens=False).ids for t in rows]
+
+
+# --- files -------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("count", [0, 1, 7, 4096])
+def test_blocks_of_planes_round_trip(count):
+    ids = np.random.default_rng(count).integers(0, 1 << 32, count, dtype=np.uint32)
+    assert (planes.unpack_block(planes.pack_block(ids), count) == ids).all()
+
+
+def expected_ids(end):
+    plain = Tokenizer.from_file(WORDS)
+    return [(d, plain.encode(t or "", add_special_tokens=False).ids + end) for d, t in texts()]
+
+
+@pytest.mark.parametrize("segment_ids", [500, 1 << 20])
+def test_ids_come_back_in_order_of_keys(spark, segment_ids, monkeypatch):
+    path = scratch_path(spark, "planes")
+    planes.write_ids(documents(spark), path, WORDS, end_id=2, segment_ids=segment_ids)
+    found = sorted(planes.read_ids(spark, path).collect(), key=lambda r: r.start)
+    keys = [r.key for r in found]
+    assert keys == sorted(keys, key=lambda k: (k is not None, k or 0))
+    at = 0
+    for r in found:
+        assert r.start == at and r.n_tokens == len(r.ids) // 4
+        at += r.n_tokens
+    ours = sorted((str(r.key), np.frombuffer(r.ids, "<u4").tolist()) for r in found)
+    assert ours == sorted((str(d), ids) for d, ids in expected_ids([2]))
+
+
+def test_single_documents_and_blocks_across(spark, monkeypatch):
+    path = scratch_path(spark, "planes")
+    planes.write_ids(documents(spark), path, WORDS)
+    some = planes.read_ids(spark, path, keys=[300, 407, 9999]).collect()
+    expected = {d: ids for d, ids in expected_ids([]) if d in (300, 407)}
+    assert {r.key: np.frombuffer(r.ids, "<u4").tolist() for r in some} == expected
+    whole = {r.key: r.start for r in planes.read_ids(spark, path).collect()}
+    assert all(whole[r.key] == r.start for r in some)
+
+
+def test_damage_is_noticed():
+    ids = np.arange(100, dtype="<u4")
+    parts = planes.pack_block(ids)
+    at = [sum(map(len, parts[:k])) for k in range(4)]
+    entry = {"ids": 100, "crc32": zlib.crc32(ids.tobytes()) ^ 1, "at": at, "bytes": list(map(len, parts))}
+    with pytest.raises(ValueError, match="checksum"):
+        planes.decode([entry], b"".join(parts), 0, 100)
+
+
+def test_files_of_nothing(spark):
+    path = scratch_path(spark, "planes")
+    planes.write_ids(empty(spark), path, WORDS, end_id=2)
+    assert planes.read_ids(spark, path).count() == 0
+
+
+# --- packing -----------------------------------------------------------------------------
+
+
+def fewest(items, capacity):
+    best = [len(items)]
+
+    def go(i, bins):
+        if len(bins) >= best[0]:
+            return
+        if i == len(items):
+            best[0] = len(bins)
+            return
+        for k, used in enumerate(bins):
+            if used + items[i] <= capacity and used not in bins[:k]:
+                go(i + 1, [*bins[:k], used + items[i], *bins[k + 1 :]])
+        go(i + 1, [*bins, items[i]])
+
+    go(0, [])
+    return best[0]
+
+
+def test_plans_are_whole_and_as_good_as_exact_search():
+    rng = random.Random(1)
+    for _ in range(150):
+        capacity = rng.choice([10, 20, 50])
+        items = sorted((rng.randint(1, capacity) for _ in range(rng.randint(0, 10))), reverse=True)
+        counts = np.bincount(items, minlength=capacity + 1) if items else np.zeros(capacity + 1, int)
+        made = packing.plan(counts, capacity)
+        back = np.zeros(capacity + 1, int)
+        for copies, filling in made:
+            assert sum(filling) <= capacity
+            for size in filling:
+                back[size] += copies
+        assert (back == counts).all()
+        assert packing.lower_bound(counts, capacity) <= fewest(items, capacity)
+        assert sum(n for n, _ in made) == fewest(items, capacity)
+
+
+def test_work_of_a_plan_does_not_grow_with_the_counts():
+    counts = np.zeros(2049, int)
+    counts[1:] = np.random.default_rng(0).integers(0, 5, 2048)
+    small = packing.plan(counts)
+    large = packing.plan(counts * 1_000_000)
+    assert len(large) < 3 * len(small) + 2048
+    assert sum(n for n, _ in large) <= 1.001 * packing.lower_bound(counts * 1_000_000, 2048)
+
+
+@pytest.mark.parametrize("capacity", [64, 2048])
+def test_packed_pieces(spark, capacity):
+    plain = Tokenizer.from_file(BYTES)
+    docs = documents(spark)
+    placed = packing.packed(docs, BYTES, 0, capacity, keep_ids=True).collect()
+    streams: dict = {}
+    for r in placed:
+        ids = np.frombuffer(r.ids, "<u4")
+        assert len(ids) == r.length and zlib.crc32(r.ids) == r.ids_crc32
+        streams.setdefault(r.doc_id, []).append((r.piece, r.start, ids.tolist()))
+    expected: dict = {}
+    for key, text in texts():
+        ids = plain.encode(text or "", add_special_tokens=False).ids + [0]
+        first = len(ids) % capacity or capacity
+        bounds = [0, *range(first, len(ids) + 1, capacity)]
+        cut = [(i, a, ids[a:b]) for i, (a, b) in enumerate(zip(bounds, bounds[1:]))]
+        expected.setdefault(key, []).extend(cut)
+    assert {k: sorted(v) for k, v in streams.items()} == {k: sorted(v) for k, v in expected.items()}
+    by_sequence: dict = {}
+    for r in placed:
+        by_sequence.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in by_sequence.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    total = sum(r.length for r in placed)
+    assert len(by_sequence) <= -(-total // capacity) + 2
+
+
+def test_sequences_are_joined(spark):
+    placed = packing.packed(documents(spark), BYTES, 0, 256, keep_ids=True)
+    whole = packing.sequences(placed).collect()
+    assert all(len(r.ids) == 4 * r.n_ids <= 1024 for r in whole)
+    assert sum(r.n_ids for r in whole) == sum(r.length for r in placed.collect())
+
+
+def test_packing_of_nothing(spark):
+    assert packing.packed(empty(spark), BYTES, 0).count() == 0
