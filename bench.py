@@ -20,6 +20,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from checks.inputs import DATES, RAW, table  # noqa: E402
 from checks.queries import QUERIES, _compared, _counted, _silver, _versions  # noqa: E402
+from strata.functions.batches import OPEN_END  # noqa: E402
 from strata.plans import retail  # noqa: E402
 from strata.scratch import drop_scratch  # noqa: E402
 from strata.session import build_session  # noqa: E402
@@ -62,24 +63,31 @@ def naive_surrogate_keys(spark, sf):
 
 def naive_compare(spark, sf):
     """Each of the five groups by a join of its own."""
-    states = _versions(spark, sf).drop("_batch_id").cache()
+    states = _versions(spark, sf).drop("_batch_id")
     old = states.filter(F.col("_effective") == DATES["batch_1"])
     new = states.filter(F.col("_effective") == DATES["batch_2"])
     both = old.alias("o").join(new.alias("n"), "customer_id")
     differs = F.lit(False)
     for c in retail.TRACKED:
         differs = differs | (F.col(f"o.{c}") != F.col(f"n.{c}"))
+    last_day = F.date_sub(F.lit(DATES["batch_2"]), 1)
     groups = [
-        old.join(new, "customer_id", "left_anti"),
-        both.filter(differs).select("o.*"),
-        both.filter(differs).select("n.*"),
-        both.filter(~differs).select("o.*"),
-        new.join(old, "customer_id", "left_anti"),
+        (old.join(new, "customer_id", "left_anti"), None),
+        (both.filter(differs).select("o.*"), last_day),
+        (both.filter(differs).select("n.*"), None),
+        (both.filter(~differs).select("o.*"), None),
+        (new.join(old, "customer_id", "left_anti"), None),
     ]
-    union = groups[0]
-    for more in groups[1:]:
-        union = union.unionByName(more)
-    numbered = Window.orderBy("customer_id", "_effective")
+    union = None
+    for rows, end in groups:
+        valid = rows.withColumnRenamed("_effective", "valid_from").withColumns(
+            {
+                "valid_to": F.lit(OPEN_END) if end is None else end,
+                "is_current": F.lit(end is None),
+            }
+        )
+        union = valid if union is None else union.unionByName(valid)
+    numbered = Window.orderBy("customer_id", "valid_from")
     return union.withColumn("customer_sk", F.row_number().over(numbered))
 
 
@@ -112,14 +120,30 @@ def naive_date_dimension(spark, sf):
     )
     span = f"explode(sequence(date'{first:%Y-%m-01}', last_day(date'{last:%Y-%m-%d}')))"
     days = spark.range(1).select(F.expr(span).alias("d"))
-    return days.select("d", F.year("d"), F.quarter("d"), F.month("d"), F.date_format("d", "EEEE"))
+    return days.select(
+        F.date_format("d", "yyyyMMdd").cast("int").alias("date_key"),
+        F.col("d").alias("full_date"),
+        F.year("d").alias("year"),
+        F.quarter("d").alias("quarter"),
+        F.month("d").alias("month"),
+        F.date_format("d", "MMMM").alias("month_name"),
+        F.dayofweek("d").alias("day_of_week"),
+        F.date_format("d", "EEEE").alias("day_name"),
+        F.dayofweek("d").isin(1, 7).alias("is_weekend"),
+    )
 
 
 def naive_counts(spark, sf):
+    tables = {"customers": "customer", "products": "part", "orders": "orders"}
+    expected = {name: table(spark, sf, source).count() for name, source in tables.items()}
     found = [
-        (variant, name, df.count()) for (variant, name), df in _counted(spark, sf).items()
+        (name, variant, expected[name], n, "PASS" if n == expected[name] else "FAIL")
+        for (variant, name), df in _counted(spark, sf).items()
+        if name in expected
+        for n in [df.count()]
     ]
-    return spark.createDataFrame(found, "variant string, table_name string, row_count bigint")
+    columns = "table_name string, variant string, expected_rows bigint, row_count bigint, status string"
+    return spark.createDataFrame(found, columns).orderBy("table_name", "variant")
 
 
 def naive_latest(spark, sf):
@@ -132,10 +156,18 @@ def naive_latest(spark, sf):
 
 def naive_content(spark, sf):
     ours = _silver(spark, sf, "products").withColumn("variant", F.lit("ours"))
-    both = ours.unionByName(ours.withColumn("variant", F.lit("theirs")))
+    raised = F.when(F.col("category") == "Brand#1", F.col("unit_price") + 1).otherwise(F.col("unit_price"))
+    theirs = ours.filter("subcategory <> 'SMALL'").withColumns(
+        {"unit_price": raised.cast("decimal(10,2)"), "variant": F.lit("theirs")}
+    )
     columns = ["product_name", "category", "subcategory", F.col("unit_price").cast("string")]
+    both = ours.unionByName(theirs)
     hashed = both.select("product_id", "variant", F.md5(F.concat_ws("|", *columns)).alias("h"))
-    return hashed.groupBy("product_id").agg(F.count_distinct("h"), F.count_distinct("variant"))
+    found = hashed.groupBy("product_id").agg(
+        F.count_distinct("h").alias("distinct_hashes"), F.count_distinct("variant").alias("variant_count")
+    )
+    agreed = (F.col("distinct_hashes") == 1) & (F.col("variant_count") == 2)
+    return found.withColumn("status", F.when(agreed, "PASS").otherwise("FAIL")).orderBy("product_id")
 
 
 NAIVE = {

@@ -207,7 +207,6 @@ _EVENT_LATEST = _with(
 _BAND = """
 source AS (
   SELECT user_id, ts, event_id, CAST(floor(value / 10) AS INTEGER) AS band FROM events
-  WHERE event_type IN ('view', 'signup')
 ),
 changes AS (
   SELECT * FROM (
@@ -221,6 +220,63 @@ _BAND_AT = _with(
 )
 
 
+# The last event of each user and day, as versions in days.
+_DAILY = """
+daily AS (
+  SELECT user_id, CAST(ts AS DATE) AS day, arg_max(event_type, event_id) AS event_type
+  FROM events GROUP BY user_id, CAST(ts AS DATE)
+),
+changed AS (
+  SELECT * FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY day) AS before
+    FROM daily) WHERE event_type IS DISTINCT FROM before
+),
+ended AS (SELECT *, lead(day) OVER (PARTITION BY user_id ORDER BY day) AS nxt FROM changed),
+kinds AS (
+  SELECT user_id, event_type, day AS valid_from,
+    coalesce(CAST(nxt - INTERVAL 1 DAY AS DATE), DATE '9999-12-31') AS valid_to,
+    nxt IS NULL AS is_current FROM ended
+)"""
+_KIND_OF_DAY = _with(
+    _DAILY,
+    """SELECT e.event_id, e.user_id, CAST(e.ts AS DATE) AS day, k.event_type AS kind
+  FROM events e LEFT JOIN kinds k ON e.user_id = k.user_id
+    AND CAST(e.ts AS DATE) BETWEEN k.valid_from AND k.valid_to""",
+)
+
+# Tests that are declared and pass: table, test, column.
+_PASSING = [
+    *[(f"bronze_{e}", "not_null", c) for e, keys in {
+        "customers": ["customer_id"], "products": ["product_id"], "orders": ["order_id"],
+        "order_lines": ["order_id", "line_id"],
+    }.items() for c in [*keys, "_batch_id"]],
+    *[(f"bronze_{e}", "accepted_values", "_batch_id")
+      for e in ("customers", "products", "orders", "order_lines")],
+    *[(f"silver_{e}", "not_null", c) for e, keys in {
+        "customers": ["customer_id"], "products": ["product_id"], "orders": ["order_id"],
+        "order_lines": ["order_id", "line_id"],
+    }.items() for c in keys],
+    ("silver_customers", "unique", "customer_id"),
+    ("silver_products", "unique", "product_id"),
+    ("silver_orders", "unique", "order_id"),
+    ("silver_order_lines", "unique", "order_id, line_id"),
+    ("dim_customer", "not_null", "customer_sk"),
+    ("dim_customer", "not_null", "customer_id"),
+    ("dim_customer", "unique", "customer_sk"),
+    ("dim_product", "not_null", "product_sk"),
+    ("dim_product", "not_null", "product_id"),
+    ("dim_product", "unique", "product_sk"),
+    ("dim_product", "unique", "product_id"),
+    ("dim_date", "not_null", "date_key"),
+    ("dim_date", "unique", "date_key"),
+    ("fact_order_line", "not_null", "order_line_sk"),
+    ("fact_order_line", "not_null", "product_sk"),
+    ("fact_order_line", "not_null", "order_date_key"),
+    ("fact_order_line", "unique", "order_line_sk"),
+    ("fact_order_line", "relationships", "customer_sk"),
+    ("fact_order_line", "relationships", "product_sk"),
+    ("fact_order_line", "relationships", "order_date_key"),
+]
+
 ORACLE: dict[str, str] = {
     "standardize_customers": _with(
         _STATES, "SELECT * EXCLUDE (effective, batch_id), batch_id AS _batch_id FROM states"
@@ -230,8 +286,18 @@ ORACLE: dict[str, str] = {
     "line_amounts": _with(
         _LINES, "SELECT * EXCLUDE (batch), 'batch_' || batch AS _batch_id FROM amounts"
     ),
-    "unreadable_values": """SELECT event_type, count(*) AS n,
-        count(CASE WHEN event_type = 'view' THEN 1 END) AS readable FROM events GROUP BY event_type""",
+    "unreadable_values": """SELECT event_type,
+          CASE WHEN event_type = 'view' THEN ' ' ELSE 'no. ' END || event_id AS text,
+          CASE WHEN event_type = 'view' THEN event_id END AS number FROM events""",
+    "unreadable_measures": """WITH n AS (
+          SELECT count(*) AS seen, count(CASE WHEN l_linenumber = 3 THEN 1 END) AS quantity,
+            count(CASE WHEN l_linenumber = 4 THEN 1 END) AS price,
+            count(CASE WHEN l_linenumber = 5 AND l_discount < 0.999 THEN 1 END) AS amount
+          FROM lineitem)
+        SELECT r.rule, seen AS rows_seen, seen - r.dropped AS rows_kept, r.dropped FROM n,
+          LATERAL (VALUES ('readable_product_id', 0), ('readable_quantity', quantity),
+            ('readable_unit_price', price), ('readable_discount_pct', 0),
+            ('amount_fits', amount)) AS r(rule, dropped)""",
     "select_batch": _with(
         _LINES, "SELECT order_id, line_id, product_id, line_amount FROM amounts WHERE batch = 3"
     ),
@@ -307,17 +373,8 @@ ORACLE: dict[str, str] = {
     "event_history_hot_users": _EVENT_LATEST,
     "cdc_apply_stream": _EVENT_LATEST,
     "cdc_apply_stream_replayed": _EVENT_LATEST,
-    "event_daily_state": """WITH daily AS (
-          SELECT user_id, CAST(ts AS DATE) AS day, arg_max(event_type, event_id) AS event_type
-          FROM events GROUP BY user_id, CAST(ts AS DATE)),
-        changes AS (
-          SELECT * FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY day) AS before
-            FROM daily) WHERE event_type IS DISTINCT FROM before),
-        ended AS (
-          SELECT *, lead(day) OVER (PARTITION BY user_id ORDER BY day) AS nxt FROM changes)
-        SELECT user_id, event_type, day AS valid_from,
-          coalesce(CAST(nxt - INTERVAL 1 DAY AS DATE), DATE '9999-12-31') AS valid_to,
-          nxt IS NULL AS is_current FROM ended""",
+    "event_daily_state": _with(_DAILY, "SELECT * FROM kinds"),
+    "event_history_closed_from_times": _with(_DAILY, "SELECT * FROM kinds"),
     "fact_closed": _FACT_ROWS,
     "fact_half_open": _FACT_ROWS,
     "fact_without_broadcast": _FACT_ROWS,
@@ -333,9 +390,26 @@ ORACLE: dict[str, str] = {
     ),
     "lookup_long_history": _BAND_AT,
     "lookup_long_history_hot_users": _BAND_AT,
-    "lookup_salted": """SELECT s_name, n_name AS nation, count(*) AS lines
+    "lookup_salted": """SELECT l_orderkey, l_linenumber, s_name, n_name AS nation
         FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey
-        LEFT JOIN nation ON s_nationkey = n_nationkey GROUP BY s_name, n_name""",
+        LEFT JOIN nation ON s_nationkey = n_nationkey""",
+    "lookup_same_day_changes": _KIND_OF_DAY,
+    "lookup_same_day_changes_without_broadcast": _KIND_OF_DAY,
+    "lookup_same_day_changes_hot_users": _KIND_OF_DAY,
+    "row_count_report": """SELECT count(*) AS reported, count(*) AS stored FROM (
+          SELECT o_orderkey FROM orders
+          UNION ALL SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')""",
+    "latest_wins_long_batch_numbers": """SELECT o_orderkey, 'batch_20240301120000' AS batch
+        FROM orders""",
+    "lineage_columns": """SELECT o_orderkey AS order_id, 'batch_1' AS _batch_id,
+          true AS from_file, true AS timed FROM orders
+        UNION ALL SELECT o_orderkey, 'batch_2', true, true FROM orders
+        WHERE o_orderpriority = '1-URGENT'""",
+    "catalog_reload": "SELECT p_partkey, p_name FROM part",
+    "catalog_replace": "SELECT p_partkey, p_brand FROM part",
+    "dim_customer_by_stream": _with(
+        _VERSIONS, "SELECT * EXCLUDE (customer_name) FROM dim_customer"
+    ),
     "dq_not_null": _with(
         _GAPS,
         """SELECT 'events' AS table_name, 'not_null' AS test, 'event_id' AS column_name,
@@ -406,7 +480,9 @@ ORACLE: dict[str, str] = {
     "star_layer_tests": _with(
         _FACT,
         """SELECT 'fact_order_line' AS table_name, 'not_null' AS test, 'customer_sk' AS column_name,
-            count(*) - count(customer_sk) AS failures, 'FAIL' AS status
-        FROM fact HAVING count(*) > count(customer_sk)""",
+            count(*) - count(customer_sk) AS failures,
+            CASE WHEN count(*) > count(customer_sk) THEN 'FAIL' ELSE 'PASS' END AS status
+        FROM fact UNION ALL """
+        + " UNION ALL ".join(f"SELECT '{t}', '{k}', '{c}', 0, 'PASS'" for t, k, c in _PASSING),
     ),
 }

@@ -9,19 +9,26 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The folder names that carry the batch, and the open end of a validity.
-BATCH_PATTERN = r"(batch_\d+)"
+BATCH_PATTERN = r"/(batch_\d+)/[^/]+\.csv(?:/|$)"
 OPEN_END = date(9999, 12, 31)
 
 
 def batch_of_path(path: Column) -> Column:
-    """``batch_N`` out of a file path; an empty string where the path has none."""
+    """``batch_N``, the folder right above the file or table; an empty string if it is none."""
     return F.regexp_extract(path, BATCH_PATTERN, 1)
 
 
 def batch_number(batch_id: str | Column) -> Column:
-    """The number in ``batch_N``, so that batch_10 comes after batch_2."""
+    """The number in ``batch_N``, so that batch_10 comes after batch_2.
+
+    Dates and times of day fit; a number beyond BIGINT stops the job, for without an order of
+    the batches the latest row could not be told.
+    """
     column = F.col(batch_id) if isinstance(batch_id, str) else batch_id
-    return F.regexp_extract(column, r"(\d+)$", 1).try_cast("int")
+    digits = F.regexp_extract(column, r"(\d+)$", 1)
+    number = digits.try_cast("bigint")
+    too_long = F.raise_error(F.concat(F.lit("batch number too long: "), column)).cast("bigint")
+    return F.when((digits != "") & number.isNull(), too_long).otherwise(number)
 
 
 def effective_date(batch_id: str | Column, dates: dict[str, date]) -> Column:

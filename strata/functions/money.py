@@ -14,6 +14,11 @@ def line_amount(quantity: str, unit_price: str, discount_pct: str) -> Column:
     The percentage is applied by multiplying, so the product stays exact and no decimal
     division is needed. An amount beyond DECIMAL(12,2) becomes NULL.
     """
-    kept_pct = F.lit(Decimal("100.00")) - F.col(discount_pct)
-    exact = F.col(quantity) * F.col(unit_price) * kept_pct * F.lit(Decimal("0.01"))
+    return amount_of(F.col(quantity), F.col(unit_price), F.col(discount_pct))
+
+
+def amount_of(quantity: Column, unit_price: Column, discount_pct: Column) -> Column:
+    """The same of columns."""
+    kept_pct = F.lit(Decimal("100.00")) - discount_pct
+    exact = quantity * unit_price * kept_pct * F.lit(Decimal("0.01"))
     return F.round(exact, 2).try_cast("decimal(12,2)")

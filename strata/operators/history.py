@@ -39,11 +39,17 @@ def _columns(names: Sequence[str]) -> list[Column]:
 
 
 def encode(df: DataFrame, start: str, end: str, encoding: str) -> DataFrame:
-    """Columns ``start`` and ``end`` (start of the next version or NULL) in an encoding."""
+    """Columns ``start`` and ``end`` (start of the next version or NULL) in an encoding.
+
+    The closed encoding knows days only: of several versions that start on one day the last
+    one stays.
+    """
     others = [c for c in df.columns if c not in (start, end)]
     if encoding == "half_open":
         return df.select(*others, F.col(start).alias(START_AT), F.col(end).alias(END_AT))
     if encoding == "closed":
+        first, following = F.col(start).cast("date"), F.col(end).cast("date")
+        df = df.filter(following.isNull() | (first < following))
         return df.select(
             *others,
             F.col(start).cast("date").alias(VALID_FROM),
@@ -77,7 +83,8 @@ def end_by_next(
     hot = hot_hashes(df, keys, hot_rows)
     if not hot:
         return encode(ended(df), start, "_end", encoding)
-    large = range_slices(df.filter(is_hot(keys, hot)), [*keys, start])
+    rows = df.filter(is_hot(keys, hot)).withColumn("_spread", F.xxhash64(*df.columns))
+    large = range_slices(rows, [*keys, start, "_spread"])
     both = ended(df.filter(~is_hot(keys, hot))).unionByName(ended(large))
     return encode(both, start, "_end", encoding)
 
@@ -162,6 +169,7 @@ def scd2_history(
     ``untracked`` says what a version shows in its carried columns: those of its ``first`` row
     or of its ``latest`` one. Rows without key or sequence are left out. ``tiebreak`` settles
     which of several rows at one point of the sequence counts; by default all columns do.
+    In the closed encoding a point is a day: the last state of each day counts.
 
     Keys take one shuffle and one sort for all windows together. The rows of a key beyond
     ``hot_rows`` are cut into range slices instead, each handled by a task of its own. Looking
@@ -174,6 +182,10 @@ def scd2_history(
         tiebreak = [*carried, *tracked]
     wanted = list(dict.fromkeys([*keys, *carried, *tracked, sequence, *tiebreak]))
     rows = with_keys(df.select(*wanted), [*keys, sequence])
+    if encoding == "closed" and dict(df.dtypes)[sequence] != "date":
+        rows = rows.withColumn("_moment", F.col(sequence))
+        rows = rows.withColumn(sequence, F.col(sequence).cast("date"))
+        tiebreak = ["_moment", *tiebreak]
     order = [sequence, *[c for c in tiebreak if c != sequence]]
     args = (keys, sequence, order, tracked, carried, untracked)
 

@@ -59,6 +59,12 @@ def _covers(at: Column, end: Column, encoding: str) -> Column:
     return at <= end if encoding == "closed" else end.isNull() | (at < end)
 
 
+def _holds_at_all(encoding: str) -> Column:
+    """Leaves out versions that end before they start, and so hold at no time."""
+    start, end = F.col("_start"), F.col("_end")
+    return start <= end if encoding == "closed" else end.isNull() | (start < end)
+
+
 def lookup_scd2(
     fact: DataFrame,
     dim: DataFrame,
@@ -74,8 +80,8 @@ def lookup_scd2(
     A small dimension with short histories is broadcast and the version picked among those of
     the key. Otherwise facts and version starts are put in one order per key and every fact
     takes the version before it, which costs one shuffle and sort of the facts however long
-    the histories are; keys beyond ``hot_rows`` are cut into slices. The versions of a key
-    must not overlap.
+    the histories are; keys beyond ``hot_rows`` are cut into slices, also within one ``at``.
+    The versions of a key must not overlap; those that end before they start are left out.
     """
     start, end = _validity(encoding)
     types = dict(fact.dtypes)
@@ -86,7 +92,7 @@ def lookup_scd2(
         F.col(end).alias("_end"),
         *[F.col(d).alias(name) for name, d in take.items()],
     )
-    side = with_keys(side, [*keys, "_start"])
+    side = with_keys(side, [*keys, "_start"]).filter(_holds_at_all(encoding))
     start_type = dict(side.dtypes)["_start"]
     if types[at] != start_type and (types[at], start_type) != ("date", "timestamp"):
         raise ValueError(f"{at} is {types[at]} but versions start at a {start_type}")
@@ -128,6 +134,8 @@ def lookup_scd2(
     hot = hot_hashes(mixed, keys, hot_rows)
     result = pick(mixed.filter(~is_hot(keys, hot)) if hot else mixed)
     if hot:
-        sliced = range_slices(mixed.filter(is_hot(keys, hot)), [*keys, "_at", "_kind"])
+        # The last part of the order spreads the facts of one key and time over slices.
+        large = mixed.filter(is_hot(keys, hot)).withColumn("_spread", F.xxhash64("_fact"))
+        sliced = range_slices(large, [*keys, "_at", "_kind", "_spread"])
         result = result.unionByName(pick(sliced))
     return result.unionByName(fact.filter(missing).withColumns(no_version))

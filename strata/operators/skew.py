@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -10,8 +11,6 @@ from pyspark.sql import types as T
 
 # A key with more rows than this is not left to one task.
 HOT_ROWS = 5_000_000
-# Longest list of hot keys brought to the driver. Keys beyond it take the ordinary path.
-HOT_LIST = 10_000
 # Largest table sent whole to every executor.
 BROADCAST_BYTES = 64 << 20
 
@@ -20,8 +19,12 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
-def hot_hashes(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list[int]:
-    """Hashes of the keys with at least about ``hot_rows`` rows.
+def hot_counts(
+    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
+) -> dict[int, int]:
+    """Hashes of the keys with at least about ``hot_rows`` rows, and about how many they have.
+
+    There are at most as many as ``hot_rows`` goes into all rows, and none is left out.
 
     One pass over the key columns, counted in the map tasks first. Large thresholds are
     measured on a sample that still holds some two thousand rows of any hot key. What is
@@ -37,10 +40,13 @@ def hot_hashes(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) ->
         hashed.groupBy("h")
         .count()
         .filter(F.col("count") >= threshold)
-        .orderBy(F.desc("count"))
-        .limit(HOT_LIST)
     )
-    return [row["h"] for row in found.collect()]
+    return {row["h"]: int(row["count"] / share) for row in found.collect()}
+
+
+def hot_hashes(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list[int]:
+    """The hashes of :func:`hot_counts`."""
+    return list(hot_counts(df, keys, hot_rows))
 
 
 def is_hot(keys: Sequence[str], hashes: Sequence[int]) -> Column:
@@ -96,16 +102,16 @@ def salted_join(
     keys: Sequence[str],
     how: str,
     hot_rows: int = HOT_ROWS,
-    salts: int = 64,
-    hot: Sequence[int] | None = None,
+    salts: int | None = None,
 ) -> DataFrame:
     """Inner or left equi-join in which the rows of a hot left key are spread over tasks.
 
     Rows of ``left`` with a hot key get a salt out of their own content (the same again after a
     retry); the few matching rows of ``right`` are repeated once per salt. Rows with a NULL
     key match nothing and do not travel: they are dropped or completed with NULLs in place.
-    ``right`` is meant to be unique on ``keys``. ``hot`` are the hashes of the hot keys where
-    they are known; finding them reads ``left`` once more.
+    ``right`` is meant to be unique on ``keys``. Finding the hot keys reads ``left`` once more;
+    unless given, the number of salts follows from the largest of them, so that no task gets
+    many more than ``hot_rows`` rows of a key.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how}")
@@ -116,15 +122,15 @@ def salted_join(
     for k in keys:
         some_null = some_null | F.col(k).isNull()
     keyed = left.filter(~some_null)
-    if hot is None:
-        hot = hot_hashes(keyed, keys, hot_rows)
+    hot = hot_counts(keyed, keys, hot_rows)
     if hot:
+        salts = salts or 2 * math.ceil(max(hot.values()) / hot_rows)
         spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")
         copies = F.sequence(F.lit(0), F.lit(salts - 1))
-        keyed = keyed.withColumn("_salt", F.when(is_hot(keys, hot), spread).otherwise(F.lit(0)))
+        keyed = keyed.withColumn("_salt", F.when(is_hot(keys, list(hot)), spread).otherwise(F.lit(0)))
         right = right.withColumn(
             "_salt",
-            F.explode(F.when(is_hot(keys, hot), copies).otherwise(F.array(F.lit(0)))),
+            F.explode(F.when(is_hot(keys, list(hot)), copies).otherwise(F.array(F.lit(0)))),
         )
         joined = keyed.join(right, [*keys, "_salt"], how).drop("_salt")
     else:

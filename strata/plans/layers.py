@@ -14,12 +14,13 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.batches import batch_number, effective_date
+from strata.functions.batches import effective_date
 from strata.operators.clean import latest_wins, with_keys
 from strata.operators.history import empty_history, scd2_compare, scd2_fold, scd2_history, to_closed
 from strata.operators.quality import (
     column_tests,
     expect_or_drop,
+    expectation_counts,
     relationships,
     report,
     split_rejects,
@@ -56,19 +57,37 @@ def _bronze(out: _Folder, raw_root: str) -> dict[str, int]:
     return together({f"bronze.{e}": partial(ingest, e) for e in ENTITIES})
 
 
+def _all_dated(out: _Folder, raw_root: str, dates: Mapping[str, date]) -> None:
+    """An error, before anything is written, if a batch of customers has no date."""
+    rows = read_batches(out.spark, raw_root, "customers", retail.COLUMNS["customers"])
+    found = {r[0] for r in rows.select("_batch_id").distinct().collect()}
+    if unknown := sorted(found - set(dates)):
+        raise ValueError(f"no effective date for batch {', '.join(unknown)}")
+
+
 def _silver(out: _Folder, id_type: str) -> dict[str, int]:
-    """Cleaned tables; rows that miss an expectation are counted and set aside with the reason."""
+    """Cleaned tables; rows that miss an expectation are counted and set aside with the reason.
+
+    Values that cannot be read become NULL; how many is reported where there are any.
+    """
 
     def clean(entity: str) -> dict[str, int]:
-        typed = retail.typed(out.read("bronze", entity), entity, id_type)
+        bronze = out.read("bronze", entity)
+        readable = retail.readable(entity, id_type)
+        typed = retail.typed(bronze, entity, id_type)
         expected = retail.expectations(entity)
-        kept, seen = expect_or_drop(typed, expected)
+        kept, _ = expect_or_drop(typed, expected)
         silver = retail.latest(kept, entity).drop("_batch_id")
         written = refresh_table(silver, out.path("silver", entity))
-        dropped = sum(seen.get[label] for label in expected)
-        if dropped:
-            refresh_table(split_rejects(typed, expected)[1], out.path("rejects", entity))
-        return {f"silver.{entity}": written, f"rejects.{entity}": dropped}
+        # Written each time, so that rejects of an earlier run do not stay, and counted there:
+        # what a task observes may be observed again when its executor is lost.
+        rejects = split_rejects(typed, expected)[1]
+        dropped = refresh_table(rejects, out.path("rejects", entity))
+        counts = {f"silver.{entity}": written, f"rejects.{entity}": dropped}
+        if readable:
+            broken = expectation_counts(bronze, readable).filter("dropped > 0").collect()
+            counts |= {f"unreadable.{entity}.{r['rule']}": r["dropped"] for r in broken}
+        return counts
 
     rows: dict[str, int] = {}
     for counts in together({e: partial(clean, e) for e in ENTITIES}).values():
@@ -109,6 +128,7 @@ def run_batch(
 ) -> dict[str, int]:
     """All layers recomputed; history from all batches, or from two of them by comparison."""
     out = _Folder(spark, out_root)
+    _all_dated(out, raw_root, dates)
     rows = _bronze(out, raw_root)
     rows |= _silver(out, id_type)
     versions = retail.customer_versions(out.read("bronze", "customers"), dates, id_type)
@@ -144,6 +164,7 @@ def run_incremental(
     the history takes its changes from the bronze table.
     """
     out = _Folder(spark, out_root)
+    _all_dated(out, raw_root, dates)
 
     def ingest(entity: str) -> int:
         stream = stream_batches(spark, raw_root, entity, retail.COLUMNS[entity])
@@ -183,6 +204,7 @@ def run_snapshots(
     Each state of the history is a table of its own, so no run overwrites what it reads.
     """
     out = _Folder(spark, out_root)
+    _all_dated(out, raw_root, dates)
     rows = _bronze(out, raw_root)
     rows |= _silver(out, id_type)
     typed = retail.typed(out.read("bronze", "customers"), "customers", id_type)
@@ -190,13 +212,11 @@ def run_snapshots(
     attributes = [*retail.CARRIED, *retail.TRACKED]
     fields = {f.name: f for f in known.schema.fields}
     history = empty_history(spark, [fields["customer_id"]], [fields[a] for a in attributes])
-    upto: list[str] = []
     for batch, effective in sorted(dates.items(), key=lambda d: d[1]):
-        upto.append(batch)
-        # The state after this batch: every customer so far in its latest form.
-        seen = known.filter(F.col("_batch_id").isin(*upto))
-        state = latest_wins(seen, ["customer_id"], [batch_number("_batch_id"), *attributes])
-        state = state.withColumn("_effective", effective_date("_batch_id", dict(dates)))
+        # A key that a batch does not have is unchanged, so each batch is folded by itself.
+        own = known.filter(F.col("_batch_id") == batch)
+        state = latest_wins(own, ["customer_id"], attributes)
+        state = state.withColumn("_effective", F.lit(effective))
         history = scd2_fold(
             history, state, ["customer_id"], retail.TRACKED, retail.CARRIED, "_effective"
         )

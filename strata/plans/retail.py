@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.batches import batch_number, effective_date
-from strata.functions.money import line_amount
+from strata.functions.money import amount_of, line_amount
 from strata.functions.text import lowered, parsed, squeezed, titled, uppered
 from strata.operators.clean import latest_wins, standardize, with_keys
 from strata.operators.dims import date_dimension, surrogate_key
@@ -89,6 +89,38 @@ def expectations(entity: str) -> dict[str, Column]:
     return {label: known}
 
 
+# Columns that are read as numbers or dates besides the keys.
+_MEASURES = {
+    "customers": {},
+    "products": {"unit_price": "decimal(10,2)"},
+    "orders": {"customer_id": None, "order_date": "date"},
+    "order_lines": {
+        "product_id": None,
+        "quantity": "int",
+        "unit_price": "decimal(10,2)",
+        "discount_pct": "decimal(5,2)",
+    },
+}
+
+
+def readable(entity: str, id_type: str = "int") -> dict[str, Column]:
+    """Rules on raw rows: what is there can be read as its type.
+
+    A row that breaks one is kept with a NULL in that place; the rules are there to be counted.
+    """
+    rules = {}
+    for name, kind in _MEASURES[entity].items():
+        blank = F.col(name).isNull() | (squeezed(name) == "")
+        rules[f"readable_{name}"] = blank | parsed(name, kind or id_type).isNotNull()
+    if entity == "order_lines":
+        parts = {n: parsed(n, k) for n, k in _MEASURES[entity].items() if k}
+        known = F.lit(True)
+        for part in parts.values():
+            known = known & part.isNotNull()
+        rules["amount_fits"] = ~known | amount_of(**parts).isNotNull()
+    return rules
+
+
 def typed(raw: DataFrame, entity: str, id_type: str = "int") -> DataFrame:
     """Every raw row cleaned, with its batch; nothing is dropped yet."""
     rows = standardize(raw, rules(entity, id_type), keep=["_batch_id"])

@@ -19,6 +19,9 @@ def scratch_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
+        local = shared.startswith("file:") or "://" not in shared and _local_by_default(spark)
+        if local and not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{shared} is a folder of one machine")
         return shared.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder that every executor can reach")
@@ -29,6 +32,11 @@ def scratch_root(spark: SparkSession) -> str:
     return own
 
 
+def _local_by_default(spark: SparkSession) -> bool:
+    settings = spark._jsc.hadoopConfiguration()
+    return settings.get("fs.defaultFS", "file:///").startswith("file:")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path nobody else uses."""
     return f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"

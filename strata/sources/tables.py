@@ -2,24 +2,47 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from strata.scratch import materialise
+
 
 def refresh_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
     """Replace the table at ``path`` by ``df``; the number of rows written.
 
-    ``df`` must not read ``path``: Spark refuses that, and a lost executor could not be
-    recovered from.
+    The rows are written beside the table and take its place when all are there: a job that
+    fails leaves the table as it was. The change of place is two renames; on stores without
+    renames it is a copy. ``df`` may read ``path``.
     """
-    seen = Observation()
+    spark = df.sparkSession
+    staged, seen = f"{path.rstrip('/')}-staged-{uuid.uuid4().hex}", Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    counted.write.partitionBy(*partition_by).parquet(staged)
+    _take_place(spark, staged, path)
     return seen.get["rows"]
 
 
+def _take_place(spark: SparkSession, staged: str, path: str) -> None:
+    """Put the folder ``staged`` at ``path`` and delete what was there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    new, old, aside = place(staged), place(path), place(f"{staged}-old")
+    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    there = files.exists(old)
+    if there and not files.rename(old, aside):
+        raise OSError(f"cannot replace {path}")
+    if not files.rename(new, old):
+        if there:
+            files.rename(aside, old)
+        raise OSError(f"cannot replace {path}")
+    if there:
+        files.delete(aside, True)
+    spark.catalog.refreshByPath(path)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -45,11 +68,16 @@ def empty_table(spark: SparkSession, name: str) -> None:
 
 
 def reload_table(df: DataFrame, name: str) -> int:
-    """Empty a catalog table and fill it, columns matched by name and cast as declared."""
+    """Fill a catalog table anew, columns matched by name and cast as declared.
+
+    The rows are computed and stored before the table is touched: an error leaves it as it was,
+    and ``df`` may read it.
+    """
     spark = df.sparkSession
     target = spark.table(name).schema
-    empty_table(spark, name)
-    seen = Observation()
     rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target])
-    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.insertInto(name)
+    staged = materialise(rows, "reload")
+    seen = Observation()
+    counted = staged.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.insertInto(name, overwrite=True)
     return seen.get["rows"]

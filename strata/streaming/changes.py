@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.clean import with_keys
@@ -31,6 +32,9 @@ def apply_changes(
 ) -> None:
     """Take in all available change rows, then stop.
 
+    ``target/settings`` keeps what the target was made with; other settings, another number of
+    buckets above all, would lose track of keys and are refused.
+
     ``target/log`` holds every change row and ``target/history`` the versions, both in folders
     by a hash of the key. A micro-batch appends to the log and derives the history of the
     buckets it touches anew from the log. Nothing reads what is being overwritten, so a batch
@@ -40,6 +44,20 @@ def apply_changes(
     keys, tracked, carried = list(keys), list(tracked), list(carried)
     wanted = list(dict.fromkeys([*keys, *carried, *tracked, sequence, *tiebreak]))
     log_path, history_path = f"{target}/log", f"{target}/history"
+    _same_settings(
+        stream.sparkSession,
+        f"{target}/settings",
+        {
+            "keys": keys,
+            "sequence": sequence,
+            "tracked": tracked,
+            "carried": carried,
+            "tiebreak": list(tiebreak),
+            "encoding": encoding,
+            "untracked": untracked,
+            "buckets": buckets,
+        },
+    )
     bucket = F.pmod(key_hash(keys), F.lit(buckets)).cast("int")
     # The log is read in the caller's session, with adaptive execution if that has it.
     spark = stream.sparkSession
@@ -86,6 +104,18 @@ def apply_changes(
     query.awaitTermination()
 
 
+def _same_settings(spark: SparkSession, path: str, settings: dict) -> None:
+    """Store the settings of a new target; an error if a known one has others."""
+    own = json.dumps(settings, sort_keys=True)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        spark.createDataFrame([(own,)], "settings string").coalesce(1).write.parquet(path)
+        return
+    known = spark.read.parquet(path).first()["settings"]
+    if known != own:
+        raise ValueError(f"the target was made with {known}, not with {own}")
+
+
 def read_history(spark, target: str) -> DataFrame:
     """The history kept by :func:`apply_changes`."""
     return spark.read.parquet(f"{target}/history").drop(BUCKET)

@@ -140,6 +140,40 @@ def test_a_batch_without_a_date_stops_the_run(spark, tmp_path):
         layers.run_batch(spark, raw, str(tmp_path / "out"), {"batch_1": DATES["batch_1"]})
 
 
+@pytest.mark.parametrize("run", ["compare", "history", "incremental", "snapshots"])
+def test_no_run_loses_an_undated_batch(spark, tmp_path, run):
+    batches = {**BATCHES, "batch_3": BATCHES["batch_2"]}
+    raw, out = write_raw(tmp_path / "raw", batches), tmp_path / "out"
+    with pytest.raises(ValueError, match="no effective date for batch batch_3"):
+        if run == "incremental":
+            layers.run_incremental(spark, raw, str(out), DATES)
+        elif run == "snapshots":
+            layers.run_snapshots(spark, raw, str(out), DATES)
+        else:
+            layers.run_batch(spark, raw, str(out), DATES, method=run)
+    assert not out.exists()
+
+
+def test_rejects_of_an_earlier_run_do_not_stay(spark, tmp_path):
+    batches = {b: dict(e) for b, e in BATCHES.items()}
+    batches["batch_2"]["orders"] += "abc,1,2024-03-16,completed\n"
+    out = str(tmp_path / "out")
+    assert layers.run_batch(spark, write_raw(tmp_path / "a", batches), out, DATES)["rejects.orders"] == 1
+    assert layers.run_batch(spark, write_raw(tmp_path / "b"), out, DATES)["rejects.orders"] == 0
+    assert spark.read.parquet(f"{out}/rejects/orders").count() == 0
+
+
+def test_unreadable_measures_are_counted(spark, tmp_path):
+    batches = {b: dict(e) for b, e in BATCHES.items()}
+    batches["batch_2"]["order_lines"] += "1008,9,101,bad,99999999999.00,0\n1008,10,101,99999999,99999999.00,0\n"
+    written = layers.run_batch(spark, write_raw(tmp_path / "raw", batches), str(tmp_path / "out"), DATES)
+    assert {k: n for k, n in written.items() if k.startswith("unreadable")} == {
+        "unreadable.order_lines.readable_quantity": 1,
+        "unreadable.order_lines.readable_unit_price": 1,
+        "unreadable.order_lines.amount_fits": 1,
+    }
+
+
 def test_compare_takes_two_batches(spark, tmp_path):
     raw = write_raw(tmp_path / "raw")
     with pytest.raises(ValueError, match="two batches"):

@@ -1,0 +1,149 @@
+"""What must not be lost: rows on rewriting, keys on other settings, states on one day."""
+
+from datetime import date, datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.functions.batches import batch_number, batch_of_path
+from strata.operators import history as hist
+from strata.operators.lookup import lookup_scd2
+from strata.operators.ordered import SLICE, range_slices
+from strata.operators.skew import hot_counts, salted_join
+from strata.sources.tables import create_if_absent, refresh_table, reload_table
+from strata.streaming.changes import apply_changes, read_history
+from strata.streaming.ingest import append_available, stream_table
+
+NOON = datetime(2024, 1, 1, 12)
+
+
+@pytest.fixture
+def whole_partitions(spark):
+    """Partitions are not merged for being small, as those of large tables would not be."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.set(name, "true")
+
+
+def changes(spark, keys=40, each=6, step=timedelta(hours=7)):
+    rows = [(k, NOON + i * step, f"s{(i * (k + 1)) % 3}") for k in range(keys) for i in range(each)]
+    return spark.createDataFrame(rows, "k int, at timestamp, state string")
+
+
+@pytest.mark.parametrize("made", ["history", "to_closed"])
+def test_closed_versions_neither_overlap_nor_leave_gaps(spark, made):
+    feed = changes(spark)
+    if made == "history":
+        closed = hist.scd2_history(feed, ["k"], "at", ["state"])
+    else:
+        closed = hist.to_closed(hist.scd2_history(feed, ["k"], "at", ["state"], encoding="half_open"))
+    found: dict = {}
+    for r in closed.collect():
+        assert r.valid_from <= r.valid_to
+        found.setdefault(r.k, []).append((r.valid_from, r.valid_to, r.is_current, r.state))
+    last = {(r.k, r.at.date()): r.state for r in feed.orderBy("k", "at").collect()}
+    for key, versions in found.items():
+        versions.sort()
+        assert all(b[0] == a[1] + timedelta(days=1) for a, b in zip(versions, versions[1:]))
+        assert [v[2] for v in versions] == [False] * (len(versions) - 1) + [True]
+        for (k, day), state in last.items():
+            if k == key:
+                assert [v[3] for v in versions if v[0] <= day <= v[1]] == [state]
+
+
+@pytest.mark.parametrize("hot_rows", [5, 10**6])
+def test_lookup_is_the_same_on_both_sides_of_the_size_switch(spark, hot_rows):
+    feed = changes(spark, each=9, step=timedelta(hours=3))
+    dim = hist.scd2_history(feed, ["k"], "at", ["state"])
+    # Versions that hold at no time must not hide those that do.
+    empty = dim.select("k", "valid_from", F.date_sub("valid_from", 1).alias("valid_to"), F.lit(False).alias("is_current"), F.lit("no").alias("state"))
+    dim = dim.unionByName(empty)
+    facts = feed.select("k", F.col("at").cast("date").alias("day"), F.col("state").alias("own"))
+
+    def found(size):
+        rows = lookup_scd2(facts, dim, {"k": "k"}, "day", {"hit": "state"}, "closed", size, hot_rows)
+        return sorted(map(tuple, rows.collect()))
+
+    assert found(1 << 26) == found(0)
+    assert not any(r[3] in (None, "no") for r in found(0))
+
+
+def test_facts_of_one_key_and_day_fill_many_slices(spark, whole_partitions):
+    facts = spark.range(20_000).select(F.lit(1).alias("k"), F.lit(date(2024, 1, 5)).alias("d"), "id")
+    dim = spark.createDataFrame([(1, date(2024, 1, 1), date(9999, 12, 31), "x")], "k int, valid_from date, valid_to date, v string")
+    rows = lookup_scd2(facts, dim, {"k": "k"}, "d", {"v": "v"}, "closed", 0, 1000)
+    assert rows.filter("v = 'x'").count() == 20_000
+    spread = facts.withColumn("_spread", F.xxhash64("id"))
+    slices = range_slices(spread, ["k", "d", "_spread"]).groupBy(SLICE).count().collect()
+    assert len(slices) > 1 and max(r["count"] for r in slices) < 15_000
+
+
+def test_other_settings_of_a_change_target_are_refused(spark, tmp_path):
+    feed, target = str(tmp_path / "feed"), str(tmp_path / "target")
+    rows = changes(spark, keys=20, each=2)
+    rows.write.parquet(feed)
+
+    def apply(buckets, run):
+        stream = stream_table(spark, feed, rows.schema)
+        apply_changes(stream, target, str(tmp_path / run), ["k"], "at", ["state"], buckets=buckets)
+
+    apply(4, "a")
+    before = sorted(map(str, read_history(spark, target).collect()))
+    with pytest.raises(ValueError, match="was made with"):
+        apply(9, "b")
+    apply(4, "b")
+    assert sorted(map(str, read_history(spark, target).collect())) == before
+
+
+def test_a_table_may_be_rewritten_out_of_itself(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert refresh_table(spark.range(3), path) == 3
+    assert refresh_table(spark.read.parquet(path).filter("id > 0"), path) == 2
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 2]
+    create_if_absent(spark, "of_itself", {"id": "bigint"})
+    assert reload_table(spark.range(3), "of_itself") == 3
+    assert reload_table(spark.table("of_itself"), "of_itself") == 3
+    assert spark.table("of_itself").count() == 3
+
+
+def test_a_failed_rewrite_leaves_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    refresh_table(spark.range(3), path)
+    bad = spark.range(3).select(F.when(F.col("id") > 1, F.raise_error(F.lit("stop"))).otherwise(1).cast("int").alias("x"))
+    with pytest.raises(Exception, match="stop"):
+        refresh_table(bad, path)
+    assert spark.read.parquet(path).count() == 3
+    create_if_absent(spark, "kept_rows", {"x": "int"})
+    reload_table(spark.range(2).select(F.col("id").alias("x")), "kept_rows")
+    with pytest.raises(Exception, match="stop"):
+        reload_table(bad, "kept_rows")
+    assert spark.table("kept_rows").count() == 2
+
+
+def test_rows_are_counted_over_more_batches_than_are_remembered(spark, tmp_path):
+    feed = str(tmp_path / "feed")
+    spark.range(0, 130, 1, 130).write.parquet(feed)
+    stream = stream_table(spark, feed, spark.range(1).schema, maxFilesPerTrigger="1")
+    assert append_available(stream, str(tmp_path / "out"), str(tmp_path / "state")) == 130
+
+
+def test_long_batch_numbers(spark):
+    rows = spark.createDataFrame([("batch_20240301120000",), ("batch_2",), ("x",)], "b string")
+    assert [r[0] for r in rows.select(batch_number("b")).collect()] == [20240301120000, 2, None]
+    with pytest.raises(Exception, match="too long"):
+        spark.createDataFrame([("batch_" + "9" * 25,)], "b string").select(batch_number("b")).collect()
+
+
+def test_the_batch_is_the_folder_above_the_file(spark):
+    paths = ["s3://b/batch_2024/raw/batch_3/o.csv", "file:/r/batch_7/o.csv/part-0.csv", "file:/r/batch_7/o.txt"]
+    rows = spark.createDataFrame([(p,) for p in paths], "p string")
+    assert [r[0] for r in rows.select(batch_of_path(F.col("p"))).collect()] == ["batch_3", "batch_7", ""]
+
+
+def test_salts_follow_the_largest_key(spark):
+    left = spark.range(4000).select(F.lit(1).alias("k"), "id")
+    assert list(hot_counts(left, ["k"], 100).values()) == [4000]
+    right = spark.createDataFrame([(1, "x")], "k int, v string")
+    joined = salted_join(left, right, ["k"], "inner", hot_rows=100)
+    assert joined.count() == 4000 and joined.filter("v = 'x'").count() == 4000
