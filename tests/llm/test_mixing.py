@@ -4,7 +4,6 @@ import random
 from itertools import product
 
 import pytest
-from pyspark.sql import functions as F
 
 from strata.llm import mixing
 from tests.llm.fixtures import WORD, documents, empty, texts
@@ -51,23 +50,21 @@ def test_flow_is_largest_and_cheapest():
 
 
 def test_mix_meets_targets(spark):
-    docs = documents(spark)
-    found = mixing.mix(docs).withColumn("again", F.lit(1)).collect()
-    assert len(found) == docs.count()
+    # One id per row, so that results can be told apart by source.
+    docs = documents(spark, [(i, t) for i, (_, t) in enumerate(texts())])
+    found = {r.doc_id: r for r in mixing.mix(docs).collect()}
     sources: dict = {}
     for r in docs.select("doc_id", "text", "source").collect():
-        size = len(WORD.findall(r.text or ""))
-        sources.setdefault(r.source, []).append(size)
-    expected = mixing.targets(
-        {s: sum(v) for s, v in sources.items()}, mixing.cycled(list(sources)), 1.5 * sum(map(sum, sources.values()))
-    )
-    taken: dict = {}
-    for r in found:
-        assert r.taken in (0, r["size"], 2 * r["size"])
-        taken.setdefault((r.source_size, r.target), []).append(r.taken)
-    for s, sizes in sources.items():
-        got = sum(taken[sum(sizes), pytest.approx(expected[s])] if False else [t for (n, g), v in taken.items() if n == sum(sizes) and g == pytest.approx(expected[s]) for t in v])
-        assert abs(got - expected[s]) <= max(sizes) + 1
+        assert found[r.doc_id]["size"] == len(WORD.findall(r.text or ""))
+        sources.setdefault(r.source, []).append(found[r.doc_id])
+    sizes = {s: sum(r["size"] for r in rows) for s, rows in sources.items()}
+    expected = mixing.targets(sizes, mixing.cycled(list(sizes)), 1.5 * sum(sizes.values()))
+    for s, rows in sources.items():
+        assert all(r.taken in (0, r["size"], 2 * r["size"]) for r in rows)
+        assert {r.source_size for r in rows} == {sizes[s]}
+        assert all(r.target == pytest.approx(expected[s]) for r in rows)
+        assert abs(sum(r.taken for r in rows) - expected[s]) <= max(r["size"] for r in rows) + 1
+    assert len(found) == docs.count()
 
 
 def test_the_same_rows_give_the_same_mix(spark):

@@ -118,7 +118,7 @@ LINES = [
     (1, GOOD + "Nobody spoke. They had walked for hours, and the road went on through small fields and woods, past barns."),
     (2, "HOME!! NEWS!! ABOUT!! " * 30),
     (3, "\n".join(f"word{i} | other{i} | more{i}" for i in range(40))),
-    (4, "\n".join(f"Plain words number {i} are here, as they should be." for i in range(12)) + "\nAll rights reserved."),
+    (4, "\n".join(f"Plain{i} words{i} of{i} line{i}, as they{i} should{i} be{i}." for i in range(12)) + "\nAll rights reserved."),
     (5, "a b c " * 60),
     (6, "\n".join(["Home", "Log in", "Plain words are here today, and more of them come tomorrow."] * 2) * 6),
 ]
@@ -294,7 +294,7 @@ def test_expected_counts_add_up(model):
         assert (uses * lengths).sum() == pytest.approx(len(some) * codes.shape[1])
 
 
-@pytest.mark.parametrize("frequent", [0, 50, 100_000])
+@pytest.mark.parametrize("frequent", [0, 50])
 def test_lattice_scores(spark, model, frequent):
     pieces, _ = model
     rows = texts()
