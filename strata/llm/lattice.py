@@ -41,6 +41,7 @@ _SHIFT = 1
 # Cells of a table of words by characters; words beyond _SHORT keep no list of their edges.
 _BLOCK = 200_000
 _SHORT = 64
+_GATHERED = 1 << 20
 
 
 @lru_cache(maxsize=2)
@@ -168,6 +169,22 @@ def by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             yield some, codes.astype(np.uint64).reshape(len(some), length + 1)
 
 
+def _gathered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Batches of words put together up to so many characters.
+
+    The recursions go over all words of one length at a time, so short batches are slow.
+    """
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += int(batch["_word"].str.len().sum())
+        if size >= _GATHERED:
+            yield pd.concat(held, ignore_index=True)
+            held, size = [], 0
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 def word_scores(lattice: Lattice, words: list[str]) -> np.ndarray:
     """log10 probability of each word."""
     found = np.zeros(len(words))
@@ -209,7 +226,7 @@ def _learnt(counts: DataFrame, ends: int, pieces: list[str], rounds: int) -> np.
 
     def expect(batches: Iterator[pd.DataFrame], weights: np.ndarray) -> Iterator[pd.DataFrame]:
         lattice, uses = Lattice(pieces, weights), np.zeros(len(pieces))
-        for batch in batches:
+        for batch in _gathered(batches):
             names, often = batch["_word"].tolist(), batch["_c"].to_numpy(dtype=float)
             for some, codes in by_length(names):
                 uses += lattice.expected(codes, often[some])
@@ -259,7 +276,7 @@ def lattice_scores(
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lattice = Lattice(pieces, weights)
-        for batch in batches:
+        for batch in _gathered(batches):
             batch["_p"] = word_scores(lattice, batch["_word"].tolist())
             yield batch
 
