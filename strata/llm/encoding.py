@@ -60,8 +60,8 @@ class Encoder:
         missing: set[str] = set()
         for parts in cut:
             missing.update(parts)
-        missing.difference_update(self.known)
-        self._learn(missing)
+        # Looks each of the few up among the many, not the other way round.
+        self._learn(missing.difference(self.known))
         ids, done = self.known.__getitem__, []
         for text, head, parts in zip(texts, heads, cut):
             found = list(map(ids, parts))
