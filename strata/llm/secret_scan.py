@@ -3,8 +3,9 @@
 Base patterns (assignments, access keys, runs of hexadecimal digits) are reported as they match.
 Beyond them, candidates are decoded and reported only if their inside has the structure of a
 secret: signed tokens whose header and payload are JSON objects, keys whose ASN.1 elements or
-length-prefixed fields nest exactly, and base64 or hexadecimal runs that decode to text with a
-base pattern in it.
+length-prefixed fields nest exactly, and base64 or hexadecimal runs, on one line or wrapped over
+several, whose decoded bytes hold an assignment, an access key or, at up to ``NESTED`` levels of
+encoding, one of these structures again.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -43,10 +46,21 @@ _TOKEN = re.compile(r"(?<![A-Za-z0-9_-])ey[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-
 _PEM = re.compile(
     r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY-----(.*?)-----END \1PRIVATE KEY-----", re.S
 )
-_RUN = re.compile(r"[A-Za-z0-9+/_-]{24,}={0,2}")
-_ANY_HEX = re.compile(r"(?:[0-9a-fA-F]{2}){12,}")
+# The smallest secret, "token=" and six characters, has 12 bytes: 16 characters or 24 digits.
+_RUN_LEAST = 16
+_RUN = re.compile(rf"[A-Za-z0-9+/_-]{{{_RUN_LEAST},}}={{0,2}}")
+_ANY_HEX = re.compile(r"[0-9a-fA-F]{24,}")
+# Line breaks, also as they are written inside quoted strings.
+_BREAK = r"[\x20\t]*(?:\r?\n|\\r\\n|\\n)[\x20\t]*"
+_BREAKS = re.compile(_BREAK)
+_WRAPPED = re.compile(
+    rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:{_BREAK}[A-Za-z0-9+/_-]++)+={{0,2}}"
+)
 _HEADER = re.compile(r"^[A-Za-z-]+:.*$", re.M)
+_CONTROLS = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
 _DEPTH = 16
+# Levels of encoding inside a decoded text that are looked through.
+NESTED = 4
 
 Span = tuple[str, int, int]
 
@@ -152,37 +166,159 @@ def is_signed_token(run: str) -> bool:
     return isinstance(header, dict) and isinstance(header.get("alg"), str) and isinstance(payload, dict)
 
 
-def hides_secret(data: bytes) -> bool:
-    """Whether the bytes are plain text with an assignment or an access key in it."""
-    if not data or min(data) < 9 or max(data) > 126:
+def hidden(data: bytes, nested: int = NESTED) -> list[tuple[int, int]]:
+    """Places in the bytes of assignments, access keys and confirmed structures.
+
+    All of these are ASCII. Other bytes, UTF-8 or not, only separate.
+    """
+    text = data.decode("latin-1")
+    found = [(a, b) for kind, a, b in base_spans(text) if kind != "hex"]
+    if nested:
+        found += [(a, b) for _, a, b in confirmed_spans(text, nested - 1)]
+    return found
+
+
+def _is_text(data: bytes) -> bool:
+    try:
+        return not _CONTROLS.search(data.decode("utf-8"))
+    except UnicodeDecodeError:
         return False
-    return any(kind != "hex" for kind, _, _ in base_spans(data.decode("ascii")))
 
 
-def confirmed_spans(text: str) -> list[Span]:
-    """Spans whose decoded structure confirms a secret."""
+def _base64_kind(run: str, nested: int) -> str | None:
+    """Kind of what a base64 run hides; what is glued to its ends may shift it."""
+    whole = run.rstrip("=")
+    for skip in range(4):
+        part = whole[skip:]
+        exact = unbase64(part)
+        if exact and is_key(exact):
+            return "key_blob"
+        data = unbase64(part[:-1]) if exact is None else exact
+        if data and hidden(data, nested):
+            return "encoded"
+    return None
+
+
+def _hex_kind(digits: str, nested: int) -> str | None:
+    """Kind of what hexadecimal digits hide, from their first or their second one on."""
+    for skip in range(2):
+        data = bytes.fromhex(digits[skip : skip + (len(digits) - skip) // 2 * 2])
+        if is_key(data):
+            return "key_blob"
+        if hidden(data, nested):
+            return "encoded"
+    return None
+
+
+def _run_spans(m: re.Match, nested: int) -> list[Span]:
+    kind = _base64_kind(m[0], nested)
+    if kind:
+        return [(kind, m.start(), m.end())]
+    digits = ((h, _hex_kind(h[0], nested)) for h in _ANY_HEX.finditer(m[0]))
+    return [(kind, m.start() + h.start(), m.start() + h.end()) for h, kind in digits if kind]
+
+
+def _choices(lines: list[str]) -> list[tuple[int, int]]:
+    """First and last of lines that may be one wrapped run, longest first.
+
+    All lines, all but the outer ones, which may be words beside the run, and lines of one width
+    with a shorter last one.
+    """
+    last = len(lines) - 1
+    found = {(0, last), (0, last - 1), (1, last), (1, last - 1)}
+    first = 0
+    while first < last:
+        width, final = len(lines[first]), first
+        while final < last and len(lines[final + 1]) == width:
+            final += 1
+        if width >= _RUN_LEAST:
+            found.add((first, final))
+            if final < last and len(lines[final + 1]) < width:
+                found.add((first, final + 1))
+        first = final + 1
+    return sorted(((a, b) for a, b in found if a < b), key=lambda c: (c[0] - c[1], c))
+
+
+def _wrapped_spans(m: re.Match, nested: int) -> list[Span]:
+    """Spans of runs that are wrapped over lines of a match."""
+    breaks = list(_BREAKS.finditer(m[0]))
+    starts, ends = [0, *(b.end() for b in breaks)], [*(b.start() for b in breaks), len(m[0])]
+    lines = [m[0][a:b] for a, b in zip(starts, ends)]
+    found: list[Span] = []
+
+    def add(kind: str, first: int, final: int) -> None:
+        alone = (_RUN.fullmatch(line) for line in lines[first : final + 1])
+        if not all(run and _run_spans(run, nested) for run in alone):
+            found.append((kind, m.start() + starts[first], m.start() + ends[final]))
+
+    settled = bytearray(len(lines))
+    for first, final in _choices(lines):
+        if 1 in settled[first : final + 1]:
+            continue
+        run = "".join(lines[first : final + 1])
+        if len(run) < _RUN_LEAST:
+            continue
+        decoded = [unbase64(run)]
+        digits = run[2:] if run[:2] in ("0x", "0X") else run
+        if _ANY_HEX.fullmatch(digits) and len(digits) % 2 == 0:
+            decoded.append(bytes.fromhex(digits))
+        decoded = [data for data in decoded if data and (is_key(data) or _is_text(data))]
+        if not decoded:
+            continue
+        settled[first : final + 1] = b"\1" * (final + 1 - first)
+        if any(is_key(data) for data in decoded):
+            add("key_blob", first, final)
+        elif any(hidden(data, nested) for data in decoded):
+            add("encoded", first, final)
+    # What is neither as a whole: the lines that hold something, however the run begins and ends.
+    run = "".join(lines).rstrip("=")
+    if len(run) < _RUN_LEAST:
+        return found
+    offsets = list(accumulate(map(len, lines), initial=0))
+    places = set()
+    for skip in range(4):
+        part = run[skip:]
+        data = unbase64(part[: -1 if len(part) % 4 == 1 else None])
+        for a, b in hidden(data, nested) if data else ():
+            places.add((skip + a * 4 // 3, skip + (b * 4 + 2) // 3))
+    for h in _ANY_HEX.finditer(run):
+        for skip in range(2):
+            at = h.start() + skip
+            data = bytes.fromhex(run[at : at + (h.end() - at) // 2 * 2])
+            places.update((at + 2 * a, at + 2 * b) for a, b in hidden(data, nested))
+    spread = {(bisect_right(offsets, a) - 1, bisect_left(offsets, b) - 1) for a, b in places}
+    for first, final in sorted(spread):
+        final = min(final, len(lines) - 1)
+        if first < final and 1 not in settled[first : final + 1]:
+            add("encoded", first, final)
+    return found
+
+
+def confirmed_spans(text: str, nested: int = NESTED) -> list[Span]:
+    """Spans whose decoded structure confirms a secret; none inside another of a key or run."""
     spans: list[Span] = []
     if "ey" in text and "." in text:
         for m in _TOKEN.finditer(text):
             if is_signed_token(m[0]):
                 spans.append(("signed_token", m.start(), m.end()))
+    within = bytearray(len(text))
+    whole: list[Span] = []
     if "PRIVATE KEY-----" in text:
         for m in _PEM.finditer(text):
-            data = unbase64("".join(_HEADER.sub("", m[2]).split()))
+            data = unbase64("".join(_HEADER.sub("", _BREAKS.sub("\n", m[2])).split()))
             # An encrypted key has headers of its own instead of a readable structure.
             if data and (is_key(data) or "ENCRYPTED" in m[0]):
-                spans.append(("private_key", m.start(), m.end()))
+                whole.append(("private_key", m.start(), m.end()))
+                within[m.start() : m.end()] = b"\1" * (m.end() - m.start())
+    for m in _WRAPPED.finditer(text):
+        if within.find(0, m.start(), m.end()) >= 0:
+            whole += _wrapped_spans(m, nested)
+    for _, start, end in whole:
+        within[start:end] = b"\1" * (end - start)
     for m in _RUN.finditer(text):
-        run = m[0]
-        decoded = [unbase64(run)]
-        if _ANY_HEX.fullmatch(run):
-            decoded.append(bytes.fromhex(run))
-        for data in decoded:
-            if data and is_key(data):
-                spans.append(("key_blob", m.start(), m.end()))
-            elif data and hides_secret(data):
-                spans.append(("encoded", m.start(), m.end()))
-    return spans
+        if within.find(0, m.start(), m.end()) >= 0:
+            spans += _run_spans(m, nested)
+    return spans + whole
 
 
 def spans_of(text: str | None) -> list[Span]:

@@ -5,6 +5,7 @@ import json
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -206,6 +207,53 @@ def test_more_encodings_of_keys():
         assert any(k == "key_blob" for k, _, _ in secret_scan.spans_of(f"x {run} y"))
 
 
+def b64(text):
+    return base64.b64encode(text.encode()).decode()
+
+
+PASSWORD = "password=hunter2"
+WRAPPED = base64.encodebytes(f"user: jörg, {'x' * 60} {PASSWORD} {'y' * 50}".encode()).decode().strip()
+ENCODED = {
+    "short": b64(PASSWORD),
+    "shortest": b64("token=abc123"),
+    "pem": b64(KINDS["private_key"]),
+    "signed": b64(KINDS["signed_token"]),
+    "utf-8": b64("naïve paßword, " + PASSWORD),
+    "control": b64("\x1b[1m" + PASSWORD + "\x00"),
+    "twice": b64(b64(PASSWORD)),
+    "hex in base64": b64("x " + PASSWORD.encode().hex()),
+    "wrapped": WRAPPED,
+    "halves": "cGFzc3dv\ncmQ9aHVudGVyMg==",
+    "wrapped pem": base64.encodebytes(KINDS["private_key"].encode()).decode().strip(),
+    "hex": PASSWORD.encode().hex(),
+    "odd glue": "data/" + b64(PASSWORD),
+}
+
+
+@pytest.mark.parametrize("case", ENCODED)
+def test_encoded_secrets_are_found(case):
+    found = {k: f"é {ENCODED[case]} end"[a:b] for k, a, b in secret_scan.confirmed_spans(f"é {ENCODED[case]} end")}
+    assert set(found) == {"encoded"} and found["encoded"] == ENCODED[case]
+
+
+def test_runs_after_0x_and_wrapped_keys():
+    for text in (f"k=0x{PASSWORD.encode().hex()};", f"k=0x\n{PASSWORD.encode().hex()[:20]}\n{PASSWORD.encode().hex()[20:]}"):
+        assert [k for k, _, _ in secret_scan.confirmed_spans(text)] == ["encoded"]
+    wrapped = base64.encodebytes(SSH).decode().strip()
+    text = f"some\nwords\nhere\n{wrapped}\nand\nmore"
+    assert [(k, text[a:b].strip()) for k, a, b in secret_scan.confirmed_spans(text)] == [("key_blob", wrapped)]
+    lines = "\n".join(["word", "list", b64(PASSWORD).rstrip("="), "of", "lines", b64("token=abc123"), "here"])
+    found = [lines[a:b] for _, a, b in secret_scan.confirmed_spans(lines)]
+    assert found == [b64(PASSWORD).rstrip("="), b64("token=abc123")]
+
+
+def test_runs_take_time_in_proportion():
+    began = time.perf_counter()
+    for text in ("A" * 300_000, "ab\n" * 100_000, (b64("plain words ") + "\n") * 10_000, "-" * 300_000, "0a" * 150_000):
+        assert secret_scan.confirmed_spans(text) == []
+    assert time.perf_counter() - began < 30
+
+
 @pytest.mark.parametrize("text", CLEAN)
 def test_what_only_looks_like_a_secret(text):
     assert secret_scan.confirmed_spans(text) == []
