@@ -4,6 +4,8 @@ Every block of text passes points for its length and its commas to the container
 to the nearest, half to the next, less to those beyond; points are discounted by the share of the
 block's text that is in links. The container with the most points, discounted by its own links,
 and those of its siblings that look like text too are kept; of these, every block is returned.
+Of the article or main element around that container, all other blocks are kept too, unless
+links are most of the block or of its list.
 Elements that are no part of an article by their kind or name are cut off before.
 """
 
@@ -72,6 +74,10 @@ _PARTS = re.compile(r"[a-z]+")
 # Elements that hold a block and pass its points on, and the shares of the containers above.
 LEAVES = frozenset("p pre td blockquote h1 h2 h3 h4 h5 h6 li dt dd th figcaption".split())
 SHARES = (1, 1 / 2, 1 / 6, 1 / 9, 1 / 12)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+PARAGRAPHS = frozenset("p pre blockquote".split())
+# Blocks and lists of an article with a larger share of their text in links are no text.
+MOST_LINKED = 0.5
 # A sibling is kept from so many points, absolute and of the best, or characters of plain text.
 SIBLING_LEAST, SIBLING_SHARE, SIBLING_CHARS = 10.0, 0.2, 80
 
@@ -86,6 +92,7 @@ class Node:
     chars: int = 0
     linked: int = 0
     kept: bool = False
+    scoped: bool = False
 
     @property
     def points(self) -> float:
@@ -224,6 +231,35 @@ def _blocks(root: Node) -> list[tuple[str, int, Node]]:
     return found
 
 
+def _scope(nodes: list[Node], best: Node) -> Node | None:
+    """The article around ``best``, or the main element if it has no other article; or None."""
+    above = [best]
+    while above[-1].parent is not None:
+        above.append(above[-1].parent)
+    articles = [n for n in above if n.tag == "article"]
+    mains = [n for n in above if n.tag == "main"]
+    if not articles or not mains:
+        return (articles or mains or [None])[-1]
+    inside, others = {mains[-1]}, 0
+    for node in nodes:
+        if node.parent in inside and not node.dropped:
+            if node.tag == "article":
+                others += node is not articles[-1] and bool(node.chars)
+            else:
+                inside.add(node)
+    return articles[-1] if others else mains[-1]
+
+
+def _is_prose(text: str, linked: int, holder: Node) -> bool:
+    """Whether a block of the article counts as its text by the links in it and in its list."""
+    if holder.tag == "h1":
+        return True
+    if linked > MOST_LINKED * len(text):
+        return False
+    listed = holder.tag in ("li", "dt", "dd", "td", "th") and holder.parent is not None
+    return not listed or holder.parent.density <= MOST_LINKED
+
+
 def main_text(page: str | None) -> str:
     """The blocks of a page's article, joined by empty lines; empty if there is none."""
     nodes = parse(page or "")
@@ -246,14 +282,24 @@ def main_text(page: str | None) -> str:
     if not best.points:
         return ""
     best.kept = True
+    scope = _scope(nodes, best)
     least = max(SIBLING_LEAST, best.points * SIBLING_SHARE)
     for other in best.parent.children if best.parent else ():
         if isinstance(other, Node) and not other.dropped:
             like_text = other.tag in LEAVES and other.chars > SIBLING_CHARS and other.density < 0.25
-            other.kept = other.kept or other.points >= least or like_text
+            beside = HEADINGS | PARAGRAPHS if scope is None else {"h1"}
+            plain = other.tag in beside and bool(other.chars) and not other.linked
+            other.kept = other.kept or other.points >= least or like_text or plain
+    if scope is not None:
+        scope.scoped = True
     for node in nodes[1:]:
         node.kept = node.kept or node.parent.kept
-    return "\n\n".join(text for text, _, holder in blocks if holder.kept)
+        node.scoped = node.scoped or node.parent.scoped
+    return "\n\n".join(
+        text
+        for text, linked, holder in blocks
+        if holder.kept or holder.scoped and _is_prose(text, linked, holder)
+    )
 
 
 @F.pandas_udf(T.StringType())

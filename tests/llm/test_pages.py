@@ -65,6 +65,25 @@ def test_siblings_that_look_like_text_are_kept():
     assert len(blocks(f"<body><main>{parts}</main></body>")) == 6
 
 
+def test_all_of_the_article_around_the_best_container_is_kept():
+    body = f"<div><p>{LONG}</p><p>{LONG}</p></div>"
+    short = "<section><h2>More</h2><p>It rained.</p><p>Nobody came.</p></section>"
+    links = '<ul><li><a href="/a">Other news</a></li><li><a href="/b">More news</a></li><li>Now</li></ul>'
+    head = '<h1><a href="/">Title</a></h1><p>Short lead.</p>'
+    long = " ".join(LONG.split())
+    expected = ["Title", "Short lead.", long, long, "More", "It rained.", "Nobody came."]
+    for page in (
+        f"<article>{head}{body}{short}{links}</article>",
+        f"<main>{head}<article>{body}{short}</article>{links}</main>",
+        f"<main><article>{head}{body}{short}</article><article><p>Another one.</p></article></main>",
+    ):
+        assert blocks(f"<body>{page}<p>Buy now.</p></body>")[: len(expected)] == expected
+        assert not {"Other news", "Now", "Another one."} & set(blocks(f"<body>{page}</body>"))
+    assert blocks(f"<body><div><h1>Title</h1><p>Short lead.</p>{body}</div></body>") == ["Title", "Short lead.", long, long]
+    sections = f"<section><p>{LONG * 6}</p><p>{LONG * 6}</p></section>{short}"
+    assert blocks(f"<body><main>{sections}</main></body>")[2:] == expected[4:]
+
+
 def test_names_count_as_whole_words_only():
     assert blocks(f'<body><div class="shadows adventure"><p>{LONG}</p></div></body>') == [" ".join(LONG.split())]
 
