@@ -6,7 +6,8 @@ block's text that is in links. The container with the most points, discounted by
 and those of its siblings that look like text too are kept; of these, every block is returned.
 Of the article or main element around that container, all other blocks are kept too, unless
 links are most of the block or of its list.
-Elements that are no part of an article by their kind or name are cut off before.
+Elements that are no part of an article by their kind or name are cut off before; a name alone
+does not cut what holds the article itself (see ``_cut_named``).
 """
 
 from __future__ import annotations
@@ -33,8 +34,8 @@ BLOCKS = frozenset(
     nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul""".split()
 )
 DROPPED = frozenset(
-    """nav footer aside form button select menu dialog svg math object canvas audio video map
-    head input datalist""".split()
+    """nav footer aside form button select menu dialog svg object canvas audio video map
+    head input datalist annotation annotation-xml""".split()
 )
 # An opening tag closes an open element of these, unless an element of the last set is between.
 CLOSES = {
@@ -57,6 +58,15 @@ NAMES = frozenset(
     disqus related recommended recommendations widget widgets toolbar pagination pager login
     signup search skip""".split()
 )
+# Words that say nothing about what an element holds, and words before the name of another one.
+GENERAL = frozenset(
+    """area article articles bar block body bottom box btn button buttons card column container
+    content entry first form global group icon icons inner item items last left link links list
+    main module outer page panel post posts primary right row secondary section site slot stories
+    story text title top unit wrap wrapper""".split()
+)
+BESIDE = frozenset("with has no without".split())
+IN_ARTICLES = frozenset("header masthead".split())
 ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split()
 )
@@ -93,6 +103,9 @@ class Node:
     linked: int = 0
     kept: bool = False
     scoped: bool = False
+    # Words of a name by which the element may be cut, and whether an article is around it.
+    names: frozenset = frozenset()
+    inside: bool = False
 
     @property
     def points(self) -> float:
@@ -103,27 +116,38 @@ class Node:
         return self.linked / self.chars if self.chars else 0.0
 
 
-def _unwanted(tag: str, raw: str, in_article: bool) -> bool:
-    if tag in DROPPED:
-        return True
-    if tag == "header" and not in_article:
-        return True
+def _attributes(raw: str) -> dict[str, str]:
     if not raw.strip(" /"):
-        return False
-    found = {
+        return {}
+    return {
         m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "").lower()
         for m in _ATTRIBUTE.finditer(raw)
     }
+
+
+def _unwanted(tag: str, found: dict[str, str], in_article: bool) -> bool:
+    if tag in DROPPED:
+        return True
+    if tag == "header" and not in_article:
+        return True
     if "hidden" in found or found.get("aria-hidden") == "true":
         return True
     if "display:none" in found.get("style", "").replace(" ", ""):
         return True
+    return tag in CONTAINERS and found.get("role") in ROLES
+
+
+def _names(tag: str, found: dict[str, str], in_article: bool) -> frozenset[str]:
+    """The words of class and id if one of them may name what is no article, else none."""
     if tag not in CONTAINERS:
-        return False
-    if found.get("role") in ROLES:
-        return True
-    names = f"{found.get('class', '')} {found.get('id', '')}"
-    return not NAMES.isdisjoint(_PARTS.findall(names))
+        return frozenset()
+    words: set[str] = set()
+    for name in f"{found.get('class', '')} {found.get('id', '')}".split():
+        parts = _PARTS.findall(name)
+        if parts and parts[0] not in BESIDE:
+            words.update(parts)
+    unwanted = NAMES - IN_ARTICLES if in_article else NAMES
+    return frozenset() if unwanted.isdisjoint(words) else frozenset(words)
 
 
 class _Builder:
@@ -140,7 +164,10 @@ class _Builder:
             self.close({"p"}, {"table", "td", "th", "object"})
         above = self.stack[-1]
         in_article = bool(self.open["article"] or self.open["main"])
-        node = Node(tag, above, _unwanted(tag, raw, in_article))
+        found = _attributes(raw)
+        node = Node(tag, above, _unwanted(tag, found, in_article), inside=in_article)
+        if not node.dropped:
+            node.names = _names(tag, found, in_article)
         above.children.append(node)
         self.nodes.append(node)
         if tag not in VOID:
@@ -260,9 +287,69 @@ def _is_prose(text: str, linked: int, holder: Node) -> bool:
     return not listed or holder.parent.density <= MOST_LINKED
 
 
+def _cut_named(nodes: list[Node]) -> bool:
+    """Drop elements by their names, and tell whether any is; never what holds the article.
+
+    That is the article or main element with most text, of those outside such names if there
+    are some. Without one it is what holds most paragraph text, unless all words of the name
+    are unwanted. Inside an article a name with further words of its own ("share-prices")
+    does not cut text that is not links, and no name cuts the only h1 of the page.
+    """
+    if not any(node.names for node in nodes):
+        return False
+    size = {node: [0, 0, 0, 0] for node in nodes}  # Plain text, linked text, paragraphs, h1.
+    named = {nodes[0]: False}
+    for node in nodes[1:]:
+        named[node] = named[node.parent] or bool(node.names) or node.dropped
+    for node in reversed(nodes):
+        own = size[node]
+        if node.dropped:
+            size[node] = own = [0, 0, 0, 0]
+        else:
+            own[0] += sum(len(" ".join(c.split())) for c in node.children if isinstance(c, str))
+            if node.tag == "a":
+                own[0], own[1] = 0, own[0] + own[1]
+            if node.tag in PARAGRAPHS:
+                own[2] = own[0]
+            own[3] += node.tag == "h1"
+        if node.parent is not None:
+            size[node.parent] = [a + b for a, b in zip(size[node.parent], own)]
+    articles = [n for n in nodes if n.tag in ("article", "main") and size[n][0]]
+    holders, node = set(), max(articles, key=lambda n: (not named[n], size[n][0]), default=None)
+    while node is not None:
+        holders.add(node)
+        node = node.parent
+    all_text = size[nodes[0]]
+    measure = 2 if all_text[2] else 0
+    any_cut = False
+    for node in nodes[1:]:
+        if not node.names or node in holders:
+            continue
+        plain, linked, paragraphs, titles = size[node]
+        own_words = node.names - NAMES
+        keep = False
+        if own_words - GENERAL or own_words and (node.inside or not articles):
+            keep = 2 * size[node][measure] > all_text[measure]
+        if node.inside:
+            text = plain > 3 * linked and (paragraphs > 0 or node.tag == "p")
+            keep = keep or bool(own_words - GENERAL) and text
+            keep = keep or titles > 0 and titles == all_text[3] == 1
+        if not keep:
+            node.dropped = any_cut = True
+    return any_cut
+
+
 def main_text(page: str | None) -> str:
-    """The blocks of a page's article, joined by empty lines; empty if there is none."""
+    """The blocks of a page's article, joined by empty lines; empty if there is none.
+
+    Where names leave no text at all, nothing is cut by names.
+    """
     nodes = parse(page or "")
+    any_cut = _cut_named(nodes)
+    return _best_text(nodes) or (_best_text(parse(page)) if any_cut else "")
+
+
+def _best_text(nodes: list[Node]) -> str:
     blocks = _blocks(nodes[0])
     for text, linked, holder in blocks:
         holder.chars += len(text)

@@ -84,6 +84,30 @@ def test_all_of_the_article_around_the_best_container_is_kept():
     assert blocks(f"<body><main>{sections}</main></body>")[2:] == expected[4:]
 
 
+@pytest.mark.parametrize(
+    "attributes",
+    ['class="content with-sidebar"', 'id="page" class="header-fixed"', 'class="sidebar-left layout"', 'class="sidebar"'],
+)
+def test_names_do_not_cut_what_holds_the_article(attributes):
+    long = " ".join(LONG.split())
+    comments = f'<div class="comments"><article><p>Me too.</p></article><p>{LONG}</p></div>'
+    inner = f"<h1>Title</h1><p>{LONG}</p><p>{LONG}</p>"
+    for page in (f"<article>{inner}</article>", f"<main>{inner}</main>", f"<div>{inner}</div>"):
+        assert blocks(f"<body><div {attributes}>{page}</div></body>") == ["Title", long, long]
+    assert blocks(f"<body><div {attributes}><article>{inner}</article>{comments}</div></body>") == ["Title", long, long]
+
+
+def test_names_inside_articles():
+    long = " ".join(LONG.split())
+    page = f"""<article><div class="article-header"><h1>Title</h1></div><p>{LONG}</p>
+    <section class="share-prices"><h2>Prices</h2><p>They fell.</p></section>
+    <div class="share-buttons"><a href="/x">Share</a></div><div class="related-posts"><p>Read on.</p></div>
+    <p>Mass is <math><semantics><mi>m</mi><annotation encoding="TeX">m_0</annotation></semantics></math> here.</p></article>"""
+    assert blocks(page) == ["Title", long, "Prices", "They fell.", "Mass is m here."]
+    banner = f'<article><div class="banner"><h1>Title</h1></div><p>{LONG}</p></article>'
+    assert blocks(banner) == ["Title", long]
+
+
 def test_names_count_as_whole_words_only():
     assert blocks(f'<body><div class="shadows adventure"><p>{LONG}</p></div></body>') == [" ".join(LONG.split())]
 
