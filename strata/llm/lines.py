@@ -62,32 +62,47 @@ def _covered(order: Column, same, place) -> Column:
     return F.size(F.array_distinct(F.flatten(places)))
 
 
-def _by_packed(hashes: Column) -> Column:
-    """Windows as one number each, upper bits of the hash and place, which sort fast."""
-    packed = F.transform(hashes, lambda h, i: h.bitwiseAND(F.lit(-_PLACES)).bitwiseOR(i.cast("long")))
-    return _let(
-        F.array_sort(packed),
-        lambda order: _covered(
-            order,
-            lambda a, b: F.shiftright(a.bitwiseXOR(b), _PLACE_BITS) == 0,
-            lambda w: w.bitwiseAND(F.lit(_PLACES - 1)),
-        ),
-    )
-
-
-def _by_pairs(hashes: Column) -> Column:
-    """The same for texts with more windows than places in the packed form."""
-    pairs = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.cast("long").alias("i")))
+def _by_pairs(pairs: Column) -> Column:
+    """Words in repeated windows among pairs of a window's hash and place."""
     return _let(
         F.array_sort(pairs),
         lambda order: _covered(order, lambda a, b: a["h"] == b["h"], lambda w: w["i"]),
     )
 
 
+def _pairs(hashes: Column) -> Column:
+    return F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.cast("long").alias("i")))
+
+
+def _by_packed(hashes: Column) -> Column:
+    """Windows as one number each, upper bits of the hash and place, which sort fast.
+
+    Windows without another of the same upper bits are out; the others, few in most texts, are
+    compared by their whole hashes.
+    """
+    packed = F.transform(hashes, lambda h, i: h.bitwiseAND(F.lit(-_PLACES)).bitwiseOR(i.cast("long")))
+
+    def near(a: Column, b: Column) -> Column:
+        same = F.shiftright(a.bitwiseXOR(b), _PLACE_BITS) == 0
+        return F.coalesce(same, F.lit(False))
+
+    def whole(w: Column) -> Column:
+        place = w.bitwiseAND(F.lit(_PLACES - 1))
+        return F.struct(F.get(hashes, place.cast("int")).alias("h"), place.alias("i"))
+
+    def candidates(order: Column) -> Column:
+        some = F.filter(
+            order, lambda w, k: near(w, F.get(order, k - 1)) | near(w, F.get(order, k + 1))
+        )
+        return F.transform(some, whole)
+
+    return _by_pairs(_let(F.array_sort(packed), candidates))
+
+
 def n_repeated_words(words: Column) -> Column:
     """Words in windows that are found twice or more in a document, the first find included.
 
-    Windows are compared by hashes. Documents without a repeated window, which are most, need
+    Windows are compared by 64-bit hashes. Documents without a repeated window, which are most, need
     no sort.
     """
     starts = F.sequence(F.lit(1), F.size(words) - WINDOW + 1)
@@ -98,7 +113,7 @@ def n_repeated_words(words: Column) -> Column:
     def repeated(hashes: Column) -> Column:
         none = F.size(F.array_distinct(hashes)) == F.size(hashes)
         few = F.size(hashes) < _PLACES
-        return F.when(none, 0).when(few, _by_packed(hashes)).otherwise(_by_pairs(hashes))
+        return F.when(none, 0).when(few, _by_packed(hashes)).otherwise(_by_pairs(_pairs(hashes)))
 
     hashes = F.transform(starts, window)
     return F.when(F.size(words) < WINDOW, 0).otherwise(_let(hashes, repeated)).cast("long")

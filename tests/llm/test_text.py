@@ -137,6 +137,15 @@ def test_base_counts(spark, places, monkeypatch):
     assert not any(r.kept for r in found if r.base_failed)
 
 
+def test_windows_are_compared_by_whole_hashes(spark, monkeypatch):
+    # So many bits for the place leave 12 of the hash, which many different windows share.
+    monkeypatch.setattr(lines, "_PLACES", 1 << 52)
+    monkeypatch.setattr(lines, "_PLACE_BITS", 52)
+    text = " ".join(f"w{i}" for i in range(2000)) + " w5 w6 w7"
+    found = lines.line_first(documents(spark, [(1, text), (2, text + " end" * 9)])).collect()
+    assert {r.doc_id: r.n_repeat_words for r in found} == {1: 6, 2: 6 + 9}
+
+
 def test_verdicts_and_cleaned_texts(spark):
     found = {r.doc_id: r for r in lines.line_first(documents(spark, LINES)).collect()}
     assert found[4].kept and "rights" not in found[4].cleaned and found[4].n_lines_removed == 1
