@@ -19,6 +19,7 @@ from strata.llm import (
     planes,
     secret_scan,
     simhash,
+    url_cascade,
 )
 from strata.llm.common import documents, table
 from strata.scratch import scratch_path
@@ -116,7 +117,46 @@ def op10_tree_scoring(spark, sf_dir):
     return pages.page_texts(table(spark, sf_dir, "pages"))
 
 
+@query
+def op11_url_cascade(spark, sf_dir):
+    """Host, path, rule and verdict of the url of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    found = url_cascade.judged(pages, url_cascade.default_listing(spark))
+    return found.select("row.page_id", "host", "path", "rule", "verdict")
+
+
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join(f"'{v}'" for v in row) + ")" for row in rows)
+
+
 ORACLE = {
+    "op11_url_cascade": rf"""
+        WITH rules(rule, verdict) AS (VALUES {_values(url_cascade.RULES)}),
+        parts(part) AS (VALUES {_values([[p] for p in url_cascade.PARTS])}),
+        pieces AS (
+            SELECT page_id,
+                   translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)([^?#]*)', 1),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)([^?#]*)', 2) AS path
+            FROM pages
+        ),
+        cut AS (
+            SELECT rule, verdict, split_part(rule, '/', 1) AS name,
+                   substr(rule, length(split_part(rule, '/', 1)) + 1) AS start
+            FROM rules
+        ),
+        fits AS (
+            SELECT p.*, r.rule, r.verdict,
+                   row_number() OVER (PARTITION BY p.page_id ORDER BY length(r.rule) DESC, r.rule) AS place
+            FROM pieces p LEFT JOIN cut r
+              ON (p.host = r.name OR ends_with(p.host, '.' || r.name)) AND starts_with(p.path, r.start)
+        )
+        SELECT page_id, host, path, rule,
+               coalesce(verdict, CASE WHEN list_has_any(regexp_split_to_array(host, '[.-]'),
+                                                        (SELECT list(part) FROM parts))
+                                 THEN 'block' ELSE 'allow' END) AS verdict
+        FROM fits WHERE place = 1
+    """,
     "op3_exact_refined": r"""
         WITH norm AS (
             SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
