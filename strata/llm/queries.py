@@ -19,6 +19,7 @@ from strata.llm import (
     planes,
     secret_scan,
     simhash,
+    spelling,
     url_cascade,
 )
 from strata.llm.common import documents, table
@@ -125,6 +126,21 @@ def op11_url_cascade(spark, sf_dir):
     return found.select("row.page_id", "host", "path", "rule", "verdict")
 
 
+@query
+def op12_pivotal_spelling(spark, sf_dir):
+    """Frequent words, their near words and the form each is a variant of."""
+    found = spelling.runs(documents(spark, sf_dir))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    h, size = F.crc32(F.concat(name, F.lit(":"), "run")), F.char_length("run")
+    # One in 199 runs loses a letter.
+    slipped = F.concat(F.expr("substring(run, 1, cast(_h % _size as int))"),
+                       F.expr("substring(run, cast(_h % _size as int) + 2)"))
+    words = found.select("run", h.alias("_h"), size.alias("_size")).select(
+        F.when(F.col("_h") % 199 == 0, slipped).otherwise(F.col("run")).alias("word")
+    )
+    return spelling.variants(spelling.counted(words))
+
+
 def _values(rows) -> str:
     return ", ".join("(" + ", ".join(f"'{v}'" for v in row) + ")" for row in rows)
 
