@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import (
+    ball_codes,
     compression,
     exact,
     lattice,
@@ -141,11 +142,71 @@ def op12_pivotal_spelling(spark, sf_dir):
     return spelling.variants(spelling.counted(words))
 
 
+@query
+def op13_ball_codes(spark, sf_dir):
+    """Codes of all vectors, four parts with 256 entries each."""
+    return ball_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 def _values(rows) -> str:
     return ", ".join("(" + ", ".join(f"'{v}'" for v in row) + ")" for row in rows)
 
 
+def _code_rounds(parts: int, entries: int, rounds: int) -> str:
+    """Common tables of SQL that assign parts and move entries, round by round."""
+    tables = []
+    for r in range(rounds + 1):
+        tables.append(f"""
+        d{r} AS MATERIALIZED (
+            SELECT v.row_id, v.part, b.entry,
+                   list_sum(list_transform(list_zip(v.x, b.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+            FROM pieces v JOIN b{r} b ON v.part = b.part
+        ),
+        a{r} AS MATERIALIZED (
+            SELECT row_id, part, arg_min(entry, (d, entry)) AS entry, min(d) AS d FROM d{r} GROUP BY ALL
+        )""")
+        if r < rounds:
+            tables.append(f"""
+        m{r} AS (
+            SELECT part, entry, list(floor_mean ORDER BY place) AS x FROM (
+                SELECT a.part, a.entry, place,
+                       (sum(v.x[place]) - ((sum(v.x[place]) % count(*)) + count(*)) % count(*)) // count(*) AS floor_mean
+                FROM a{r} a JOIN pieces v ON a.row_id = v.row_id AND a.part = v.part,
+                     unnest(range(1, len(v.x) + 1)) AS p(place)
+                GROUP BY a.part, a.entry, place)
+            GROUP BY part, entry
+        ),
+        b{r + 1} AS MATERIALIZED (
+            SELECT b.part, b.entry, coalesce(m.x, b.x) AS x
+            FROM b{r} b LEFT JOIN m{r} m ON b.part = m.part AND b.entry = m.entry
+        )""")
+    return ",".join(tables)
+
+
 ORACLE = {
+    "op13_ball_codes": f"""
+        WITH whole AS MATERIALIZED (
+            SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) AS row_id,
+                   list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        pieces AS MATERIALIZED (
+            SELECT row_id, part, v[part * len(v) // 4 + 1 : (part + 1) * len(v) // 4] AS x
+            FROM whole, unnest(range(4)) AS p(part)
+        ),
+        b0 AS MATERIALIZED (
+            SELECT part, row_id - 1 AS entry, x FROM pieces WHERE row_id <= 256
+        ),
+        {_code_rounds(4, 256, 4)},
+        coded AS (
+            SELECT row_id, string_agg(lower(printf('%02x', entry)), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+            FROM a4 GROUP BY row_id
+        )
+        SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+               (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) FROM b4) AS codebooks_sha256
+        FROM coded JOIN whole USING (row_id)
+    """,
     "op11_url_cascade": rf"""
         WITH rules(rule, verdict) AS (VALUES {_values(url_cascade.RULES)}),
         parts(part) AS (VALUES {_values([[p] for p in url_cascade.PARTS])}),
