@@ -371,6 +371,7 @@ ORACLE: dict[str, str] = {
     ),
     "event_history_latest_policy": _EVENT_LATEST,
     "event_history_hot_users": _EVENT_LATEST,
+    "cdc_apply_compacted": _EVENT_LATEST,
     "cdc_apply_stream": _EVENT_LATEST,
     "cdc_apply_stream_replayed": _EVENT_LATEST,
     "event_daily_state": _with(_DAILY, "SELECT * FROM kinds"),
@@ -407,6 +408,11 @@ ORACLE: dict[str, str] = {
         WHERE o_orderpriority = '1-URGENT'""",
     "catalog_reload": "SELECT p_partkey, p_name FROM part",
     "catalog_replace": "SELECT p_partkey, p_brand FROM part",
+    "catalog_truncate": """SELECT n_nationkey, n_name, 0 AS left_after_truncate
+        FROM nation WHERE n_nationkey < 10""",
+    "refresh_read_between": """
+        SELECT 1 AS version, count(*) AS parts, sum(p_partkey)::BIGINT AS keys FROM part
+        UNION ALL SELECT 2, count(*), sum(p_partkey)::BIGINT FROM part WHERE p_size <= 25""",
     "dim_customer_by_stream": _with(
         _VERSIONS, "SELECT * EXCLUDE (customer_name) FROM dim_customer"
     ),

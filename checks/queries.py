@@ -29,6 +29,7 @@ from strata.plans import layers, retail
 from strata.scratch import materialise, scratch_path
 from strata.sources import tables
 from strata.sources.files import read_batches, write_batch
+from strata.streaming import compacted
 from strata.streaming.changes import apply_changes, read_history
 from strata.streaming.ingest import append_available, load_once, stream_batches, stream_table
 
@@ -673,6 +674,13 @@ def lineage_columns(spark, sf):
     )
 
 
+def _taken(spark, name):
+    """The rows of a catalog table, which is dropped."""
+    rows = materialise(spark.table(name), "catalog")
+    spark.sql(f"DROP TABLE {name}")
+    return rows
+
+
 @query
 def catalog_reload(spark, sf):
     """A catalog table created once, filled, and reloaded out of itself."""
@@ -681,7 +689,7 @@ def catalog_reload(spark, sf):
     tables.reload_table(table(spark, sf, "part"), name)
     tables.create_if_absent(spark, name, {"other": "int"})
     tables.reload_table(spark.table(name), name)
-    return spark.table(name)
+    return _taken(spark, name)
 
 
 @query
@@ -690,7 +698,35 @@ def catalog_replace(spark, sf):
     name = f"replace_{uuid.uuid4().hex}"
     tables.replace_catalog_table(table(spark, sf, "region"), name)
     tables.replace_catalog_table(table(spark, sf, "part").select("p_partkey", "p_brand"), name)
-    return spark.table(name)
+    return _taken(spark, name)
+
+
+@query
+def catalog_truncate(spark, sf):
+    """A catalog table emptied and filled anew; its columns stay."""
+    name = f"truncate_{uuid.uuid4().hex}"
+    tables.create_if_absent(spark, name, {"n_nationkey": "bigint", "n_name": "string"})
+    nations = table(spark, sf, "nation")
+    tables.reload_table(nations, name)
+    tables.empty_table(spark, name)
+    left = spark.table(name).count()
+    tables.reload_table(nations.filter("n_nationkey < 10"), name)
+    return _taken(spark, name).withColumn("left_after_truncate", F.lit(left))
+
+
+@query
+def refresh_read_between(spark, sf):
+    """A table refreshed out of itself, and what a reader of before has after that."""
+    path = scratch_path(spark, "table")
+    parts = table(spark, sf, "part").select("p_partkey", "p_size")
+    tables.refresh_table(parts, path)
+    before = tables.read_table(spark, path)
+    tables.refresh_table(before.filter("p_size <= 25"), path)
+    after = tables.read_table(spark, path)
+    both = before.withColumn("version", F.lit(1)).unionByName(after.withColumn("version", F.lit(2)))
+    return both.groupBy("version").agg(
+        F.count("*").alias("parts"), F.sum("p_partkey").cast("bigint").alias("keys")
+    )
 
 
 def _apply_events(spark, sf, rounds=1):
@@ -725,6 +761,26 @@ def cdc_apply_stream_replayed(spark, sf):
     return _apply_events(spark, sf, rounds=2)
 
 
+@query
+def cdc_apply_compacted(spark, sf):
+    """All events in 20 micro-batches out of order, compacted half-way, late rows after that."""
+    feed, target = scratch_path(spark, "feed"), scratch_path(spark, "history")
+    state = scratch_path(spark, "checkpoint")
+    events = table(spark, sf, "events").select("user_id", "event_type", "ts", "event_id", "value")
+    made = compacted.Feed(
+        ["user_id"], "ts", ["event_type"], ["value", "event_id"], ["event_id"], buckets=8
+    )
+    for half in (0, 1):
+        rows = events.filter(F.pmod(F.xxhash64("event_id", F.lit(3)), F.lit(2)) == half)
+        shuffled = F.pmod(F.xxhash64("event_id"), F.lit(10))
+        rows.repartitionByRange(10, shuffled).write.mode("append").parquet(feed)
+        stream = stream_table(spark, feed, events.schema, maxFilesPerTrigger="1")
+        compacted.absorb(stream, target, state, made)
+        if not half:
+            compacted.compact(spark, target, made)
+    return compacted.read_history(spark, target)
+
+
 # --- whole runs --------------------------------------------------------------------------
 
 
@@ -743,7 +799,7 @@ def star_by_batch_run(spark, sf):
     """All files ingested, cleaned and built into the fact by one batch run."""
     out = scratch_path(spark, "star")
     layers.run_batch(spark, _export_star(spark, sf), out, DATES, method="compare", id_type=ID)
-    return spark.read.parquet(f"{out}/gold/fact_order_line")
+    return tables.read_table(spark, f"{out}/gold/fact_order_line")
 
 
 @query
@@ -752,7 +808,7 @@ def star_by_incremental_run(spark, sf):
     layers.run_incremental(
         spark, _export_star(spark, sf), out, DATES, encoding="closed", id_type=ID, buckets=8
     )
-    return spark.read.parquet(f"{out}/gold/fact_order_line")
+    return tables.read_table(spark, f"{out}/gold/fact_order_line")
 
 
 @query
@@ -762,14 +818,14 @@ def dim_customer_by_stream(spark, sf):
     layers.run_incremental(
         spark, _export_star(spark, sf), out, DATES, encoding="closed", id_type=ID, buckets=8
     )
-    return spark.read.parquet(f"{out}/gold/dim_customer").drop("customer_name")
+    return tables.read_table(spark, f"{out}/gold/dim_customer").drop("customer_name")
 
 
 @query
 def star_by_snapshot_run(spark, sf):
     out = scratch_path(spark, "star")
     layers.run_snapshots(spark, _export_star(spark, sf), out, DATES, id_type=ID)
-    return spark.read.parquet(f"{out}/gold/dim_customer")
+    return tables.read_table(spark, f"{out}/gold/dim_customer")
 
 
 @query

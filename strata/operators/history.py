@@ -198,6 +198,40 @@ def scd2_history(
     return encode(ordinary.unionByName(large), sequence, "_end", encoding)
 
 
+def version_borders(
+    df: DataFrame,
+    keys: Sequence[str],
+    sequence: str,
+    tracked: Sequence[str],
+    carried: Sequence[str] = (),
+    tiebreak: Sequence[str] = (),
+    encoding: str = "closed",
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """The rows of ``df`` that :func:`scd2_history` needs: the first and the last of each version.
+
+    Their history is that of all rows, also together with any rows that come after them.
+    """
+    keys, order = list(keys), [*tiebreak] or [*carried, *tracked]
+    moment = F.col(sequence).cast("date") if encoding == "closed" else F.col(sequence)
+    rows = with_keys(df, [*keys, sequence]).withColumn("_point", moment)
+    order = [sequence, *[c for c in order if c != sequence]]
+    state = F.struct(*_columns(tracked), F.lit(True).alias("_present"))
+
+    def borders(single: DataFrame) -> DataFrame:
+        single = neighbour(single, keys, ["_point"], state, "_before", back=True)
+        single = neighbour(single, keys, ["_point"], state, "_after", back=False)
+        inner = state.eqNullSafe(F.col("_before")) & state.eqNullSafe(F.col("_after"))
+        return single.filter(~inner).select(*df.columns)
+
+    hot = hot_hashes(rows, keys, hot_rows)
+    single = latest_wins(rows, [*keys, "_point"], order)
+    if not hot:
+        return borders(single)
+    large = range_slices(single.filter(is_hot(keys, hot)), [*keys, "_point"])
+    return borders(single.filter(~is_hot(keys, hot))).unionByName(borders(large))
+
+
 # --- type 2 from snapshots ---------------------------------------------------------------
 
 

@@ -1,4 +1,4 @@
-"""Stored tables: whole-table refresh with a row count from the same pass, catalog tables."""
+"""Stored tables: whole-table refresh that readers never see half done, catalog tables."""
 
 from __future__ import annotations
 
@@ -7,52 +7,73 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.scratch import materialise
+from strata.sources import published
 
 
-def refresh_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
+def refresh_table(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    keep: int = published.KEPT,
+    hold_seconds: float = published.HOLD_SECONDS,
+) -> int:
     """Replace the table at ``path`` by ``df``; the number of rows written.
 
-    The rows are written beside the table and take its place when all are there: a job that
-    fails leaves the table as it was. The change of place is two renames; on stores without
-    renames it is a copy. ``df`` may read ``path``.
+    Readers (:func:`read_table`) have the old rows until the new ones are all there, then the
+    new ones; a job that fails leaves the table as it was. ``df`` may read the table. Replaced
+    rows are deleted once they are neither among the latest ``keep`` versions nor were replaced
+    less than ``hold_seconds`` ago.
     """
-    spark = df.sparkSession
-    staged, seen = f"{path.rstrip('/')}-staged-{uuid.uuid4().hex}", Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.partitionBy(*partition_by).parquet(staged)
-    _take_place(spark, staged, path)
-    return seen.get["rows"]
-
-
-def _take_place(spark: SparkSession, staged: str, path: str) -> None:
-    """Put the folder ``staged`` at ``path`` and delete what was there."""
-    place = spark._jvm.org.apache.hadoop.fs.Path
-    new, old, aside = place(staged), place(path), place(f"{staged}-old")
-    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
-    there = files.exists(old)
-    if there and not files.rename(old, aside):
-        raise OSError(f"cannot replace {path}")
-    if not files.rename(new, old):
-        if there:
-            files.rename(aside, old)
-        raise OSError(f"cannot replace {path}")
-    if there:
-        files.delete(aside, True)
-    spark.catalog.refreshByPath(path)
+    spark, path = df.sparkSession, path.rstrip("/")
+    before, folder = published.latest(spark, path), published.new_folder(path)
+    df.write.partitionBy(*partition_by).parquet(f"{path}/{folder}")
+    # Counted where they lie: what a task observes may be observed again if its executor is lost.
+    rows = published.rows_of(spark, path, [folder], df.schema).count()
+    notes = {"schema": df.schema.jsonValue(), "rows": rows}
+    published.publish(spark, path, {"rows": [folder]}, notes, before)
+    published.expire(spark, path, keep, hold_seconds)
+    return rows
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The rows of a table as it is now: a published one, or a plain folder that streams append to."""
+    version = published.latest(spark, path)
+    if version is published.NONE:
+        return spark.read.parquet(path)
+    schema = T.StructType.fromJson(version.notes["schema"])
+    return published.rows_of(spark, path, version.folders["rows"], schema)
 
 
 def replace_catalog_table(df: DataFrame, name: str) -> int:
-    """Create or replace the catalog table ``name`` with the rows of ``df``."""
-    seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").format("parquet").saveAsTable(name)
-    return seen.get["rows"]
+    """Create or replace the catalog table ``name`` with the rows of ``df``.
+
+    The rows are written to a folder of their own before the catalog is touched, so a job that
+    fails leaves the old table as it was. With the same columns the table is then pointed to the
+    new folder in one step; with others a table that has been made beside it takes its name.
+    ``df`` may read the table, whose old folder is left in the warehouse.
+    """
+    spark = df.sparkSession
+    beside = f"{name}_{uuid.uuid4().hex}"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    folder = f"{warehouse}/{beside.rpartition('.')[2]}.rows"
+    df.write.parquet(folder)
+    rows = spark.read.schema(df.schema).parquet(folder).count()
+    if spark.catalog.tableExists(name) and _alike(spark.table(name).schema, df.schema):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+    else:
+        listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+        spark.sql(f"CREATE TABLE {beside} ({listed}) USING parquet LOCATION '{folder}'")
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"ALTER TABLE {beside} RENAME TO {name.rpartition('.')[2]}")
+    spark.catalog.refreshTable(name)
+    return rows
+
+
+def _alike(left: T.StructType, right: T.StructType) -> bool:
+    return [(f.name, f.dataType) for f in left] == [(f.name, f.dataType) for f in right]
 
 
 def create_if_absent(spark: SparkSession, name: str, columns: dict[str, str]) -> DataFrame:

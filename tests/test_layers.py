@@ -17,6 +17,7 @@ from fixtures import (
 from strata.operators.history import to_closed
 from strata.operators.reconcile import content_check, count_check, row_counts, summary
 from strata.plans import layers, retail
+from strata.sources.tables import read_table
 
 COUNTS = {
     "bronze.customers": 8, "bronze.products": 5, "bronze.orders": 9, "bronze.order_lines": 11,
@@ -41,7 +42,7 @@ def built(spark, tmp_path_factory):
 
 
 def gold(spark, built, run, name):
-    return spark.read.parquet(f"{built[run][0]}/gold/{name}")
+    return read_table(spark, f"{built[run][0]}/gold/{name}")
 
 
 RUNS = ["compare", "history", "half_open", "incremental", "snapshots"]
@@ -117,10 +118,10 @@ def test_incremental_runs_pick_up_new_folders_only(spark, tmp_path):
     write_raw(raw, {"batch_2": BATCHES["batch_2"]})
     second = layers.run_incremental(spark, str(raw), out, DATES, buckets=4)
     assert (second["bronze.customers"], second["gold.dim_customer"]) == (3, 8)
-    assert rows(spark.read.parquet(f"{out}/gold/fact_order_line")) == FACT
+    assert rows(read_table(spark, f"{out}/gold/fact_order_line")) == FACT
     third = layers.run_incremental(spark, str(raw), out, DATES, buckets=4)
     assert third["bronze.customers"] == 0
-    assert rows(spark.read.parquet(f"{out}/gold/dim_customer")) == DIM_CUSTOMER_HALF_OPEN
+    assert rows(read_table(spark, f"{out}/gold/dim_customer")) == DIM_CUSTOMER_HALF_OPEN
 
 
 def test_rejects_are_counted_and_set_aside(spark, tmp_path):

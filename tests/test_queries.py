@@ -33,4 +33,5 @@ def test_entry(spark):
     df = driver.entry(spark)
     assert df.count() > 0
     assert df.columns[:3] == ["order_line_sk", "order_id", "line_id"]
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    # What the training-data part adds is tested with it.
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLE) <= set(driver.oracle_sql())

@@ -10,7 +10,13 @@ from strata.operators import history as hist
 from strata.operators.lookup import lookup_scd2
 from strata.operators.ordered import SLICE, range_slices
 from strata.operators.skew import hot_counts, salted_join
-from strata.sources.tables import create_if_absent, refresh_table, reload_table
+from strata.sources.tables import (
+    create_if_absent,
+    read_table,
+    refresh_table,
+    reload_table,
+    replace_catalog_table,
+)
 from strata.streaming.changes import apply_changes, read_history
 from strata.streaming.ingest import append_available, stream_table
 
@@ -99,8 +105,8 @@ def test_other_settings_of_a_change_target_are_refused(spark, tmp_path):
 def test_a_table_may_be_rewritten_out_of_itself(spark, tmp_path):
     path = str(tmp_path / "t")
     assert refresh_table(spark.range(3), path) == 3
-    assert refresh_table(spark.read.parquet(path).filter("id > 0"), path) == 2
-    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 2]
+    assert refresh_table(read_table(spark, path).filter("id > 0"), path) == 2
+    assert sorted(r.id for r in read_table(spark, path).collect()) == [1, 2]
     create_if_absent(spark, "of_itself", {"id": "bigint"})
     assert reload_table(spark.range(3), "of_itself") == 3
     assert reload_table(spark.table("of_itself"), "of_itself") == 3
@@ -113,12 +119,19 @@ def test_a_failed_rewrite_leaves_the_table(spark, tmp_path):
     bad = spark.range(3).select(F.when(F.col("id") > 1, F.raise_error(F.lit("stop"))).otherwise(1).cast("int").alias("x"))
     with pytest.raises(Exception, match="stop"):
         refresh_table(bad, path)
-    assert spark.read.parquet(path).count() == 3
+    assert read_table(spark, path).count() == 3
     create_if_absent(spark, "kept_rows", {"x": "int"})
     reload_table(spark.range(2).select(F.col("id").alias("x")), "kept_rows")
     with pytest.raises(Exception, match="stop"):
         reload_table(bad, "kept_rows")
     assert spark.table("kept_rows").count() == 2
+    with pytest.raises(Exception, match="stop"):
+        replace_catalog_table(bad, "kept_rows")
+    assert spark.table("kept_rows").count() == 2
+    assert replace_catalog_table(spark.table("kept_rows").filter("x > 0"), "kept_rows") == 1
+    assert [r.x for r in spark.table("kept_rows").collect()] == [1]
+    assert replace_catalog_table(spark.range(4), "kept_rows") == 4
+    assert spark.table("kept_rows").columns == ["id"] and spark.table("kept_rows").count() == 4
 
 
 def test_rows_are_counted_over_more_batches_than_are_remembered(spark, tmp_path):

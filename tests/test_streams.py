@@ -14,6 +14,7 @@ from strata.sources.tables import (
     create_if_absent,
     empty_table,
     reload_table,
+    read_table,
     replace_catalog_table,
     refresh_table,
 )
@@ -163,9 +164,9 @@ def test_refresh_counts_while_writing(spark, tmp_path):
     path = str(tmp_path / "t")
     assert refresh_table(spark.range(5), path) == 5
     assert refresh_table(spark.range(2), path) == 2
-    assert spark.read.parquet(path).count() == 2
+    assert read_table(spark, path).count() == 2
     assert refresh_table(spark.range(0), path) == 0
-    assert spark.read.parquet(path).columns == ["id"]
+    assert read_table(spark, path).columns == ["id"]
 
 
 def test_catalog_tables(spark):
