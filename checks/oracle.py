@@ -2,6 +2,14 @@
 
 from __future__ import annotations
 
+_EVOLVING = """
+SELECT o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS order_date, o_orderstatus AS status,
+  NULL::BIGINT AS customer_id, NULL AS priority, 'batch_1' AS _batch_id FROM orders WHERE year(o_orderdate) % 3 = 1993 % 3
+UNION ALL SELECT o_orderkey, CAST(o_orderdate AS DATE), o_orderstatus, o_custkey, NULL, 'batch_2'
+FROM orders WHERE year(o_orderdate) % 3 = 1994 % 3
+UNION ALL SELECT o_orderkey, NULL, NULL, NULL, o_orderpriority, 'batch_3'
+FROM orders WHERE year(o_orderdate) % 3 = 1995 % 3"""
+
 # --- shared subqueries -------------------------------------------------------------------
 
 _STATES = """
@@ -402,6 +410,8 @@ ORACLE: dict[str, str] = {
           UNION ALL SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')""",
     "latest_wins_long_batch_numbers": """SELECT o_orderkey, 'batch_20240301120000' AS batch
         FROM orders""",
+    "load_evolving_files": _EVOLVING,
+    "load_evolving_files_forced": _EVOLVING,
     "lineage_columns": """SELECT o_orderkey AS order_id, 'batch_1' AS _batch_id,
           true AS from_file, true AS timed FROM orders
         UNION ALL SELECT o_orderkey, 'batch_2', true, true FROM orders

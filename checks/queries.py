@@ -27,7 +27,7 @@ from strata.operators.skew import salted_join
 from strata.parallel import together
 from strata.plans import layers, retail
 from strata.scratch import materialise, scratch_path
-from strata.sources import tables
+from strata.sources import evolving, tables
 from strata.sources.files import read_batches, write_batch
 from strata.streaming import compacted
 from strata.streaming.changes import apply_changes, read_history
@@ -636,6 +636,53 @@ def load_files_once(spark, sf):
     return _visible(spark.read.parquet(out))
 
 
+def _evolving(spark, sf, root, batch, columns):
+    """Orders of one year in three as text, under the given header."""
+    year = 1992 + int(batch[-1])
+    orders = table(spark, sf, "orders").filter(F.year("o_orderdate") % 3 == year % 3)
+    values = {
+        "order_id": "o_orderkey",
+        "order_date": F.col("o_orderdate").cast("date"),
+        "status": "o_orderstatus",
+        "priority": "o_orderpriority",
+        "customer_id": "o_custkey",
+    }
+    texts = [F.col(v) if isinstance(v, str) else v for v in (values[c] for c in columns)]
+    write_batch(orders.select(*[v.cast("string").alias(c) for v, c in zip(texts, columns)]), root, "orders", batch)
+
+
+_HEADERS = {
+    "batch_1": ["order_id", "order_date", "status"],
+    "batch_2": ["customer_id", "status", "order_id", "order_date"],
+    "batch_3": ["order_id", "priority"],
+}
+
+
+def _load_evolving(spark, sf, force):
+    root, out = scratch_path(spark, "raw"), scratch_path(spark, "bronze")
+    for batches in (["batch_1"], ["batch_2", "batch_3"], []):
+        for batch in batches:
+            _evolving(spark, sf, root, batch, _HEADERS[batch])
+        evolving.load_files(spark, root, "orders", _HEADERS["batch_1"], out, force=force)
+    return tables.read_table(spark, out).select(
+        F.col("order_id").cast("bigint").alias("order_id"),
+        F.col("order_date").cast("date").alias("order_date"),
+        F.col("customer_id").cast("bigint").alias("customer_id"), "status", "priority", "_batch_id",
+    )
+
+
+@query
+def load_evolving_files(spark, sf):
+    """Three batches under other headers, loaded once each: columns are added, values are kept."""
+    return _load_evolving(spark, sf, force=False)
+
+
+@query
+def load_evolving_files_forced(spark, sf):
+    """The same, every load from all files there are."""
+    return _load_evolving(spark, sf, force=True)
+
+
 @query
 def row_count_report(spark, sf):
     """Rows that loads report against rows stored, over more micro-batches than are remembered."""
