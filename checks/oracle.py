@@ -10,6 +10,18 @@ FROM orders WHERE year(o_orderdate) % 3 = 1994 % 3
 UNION ALL SELECT o_orderkey, NULL, NULL, NULL, o_orderpriority, 'batch_3'
 FROM orders WHERE year(o_orderdate) % 3 = 1995 % 3"""
 
+_RANGES = """
+WITH parts AS (
+  SELECT p_partkey, p_partkey % 1000 = 0 AND p_size IS NOT NULL AS raised, p_partkey % 777 = 0 AS lost FROM part
+),
+checked AS (
+  SELECT p_partkey, CASE WHEN raised THEN 2 ELSE 1 END::BIGINT AS distinct_hashes,
+    CASE WHEN lost THEN 2 ELSE 3 END::BIGINT AS variant_count,
+    CASE WHEN raised OR lost THEN 'FAIL' ELSE 'PASS' END AS status
+  FROM parts
+)
+"""
+
 # --- shared subqueries -------------------------------------------------------------------
 
 _STATES = """
@@ -490,6 +502,21 @@ ORACLE: dict[str, str] = {
         """SELECT l.order_id, line_id, 1::BIGINT AS distinct_hashes, 2::BIGINT AS variant_count,
             'PASS' AS status FROM lines l JOIN clean_orders o ON l.order_id = o.order_id""",
     ),
+    "content_check_ranges_fact": _with(
+        _LINES + "," + _ORDERS,
+        """SELECT l.order_id, line_id, 1::BIGINT AS distinct_hashes, 2::BIGINT AS variant_count,
+            'PASS' AS status FROM lines l JOIN clean_orders o ON l.order_id = o.order_id""",
+    ),
+    "content_check_ranges": _RANGES + "SELECT * FROM checked",
+    "content_check_ranges_mismatches": _RANGES + "SELECT * FROM checked WHERE status = 'FAIL'",
+    "surrogate_keys_stable": _with(
+        _VERSIONS,
+        """SELECT row_number() OVER (ORDER BY effective > DATE '1995-01-01', customer_id, effective) AS customer_sk,
+            CASE WHEN effective = DATE '1995-01-01'
+                 THEN row_number() OVER (PARTITION BY effective ORDER BY customer_id) END AS first_sk,
+            customer_id, effective AS start
+        FROM versions""",
+    ),
     "ingest_batches": _BATCH_ORDERS,
     "ingest_stream": _BATCH_ORDERS,
     "load_files_once": _BATCH_ORDERS,

@@ -22,7 +22,9 @@ from strata.operators.clean import (
 )
 from strata.operators.dims import date_dimension, surrogate_key
 from strata.operators.fact import build_fact
+from strata.operators.hashtree import content_check_by_ranges
 from strata.operators.lookup import lookup, lookup_scd2
+from strata.operators.registry import stable_keys
 from strata.operators.skew import salted_join
 from strata.parallel import together
 from strata.plans import layers, retail
@@ -237,6 +239,21 @@ def surrogate_keys_text(spark, sf):
     return surrogate_key(names, ["p_name", "p_brand", "p_type"], "name_sk")
 
 
+@query
+def surrogate_keys_stable(spark, sf):
+    """Numbers of customer versions, built from the first batch and then from both."""
+    registry = scratch_path(spark, "registry")
+    history = _customer_history(spark, sf, "half_open")
+    versions = materialise(history.select("customer_id", "__START_AT"), "versions")
+    early = versions.filter(F.col("__START_AT") == F.lit(DATES["batch_1"]))
+    by = ["customer_id", "__START_AT"]
+    before = materialise(stable_keys(early, by, "first_sk", registry), "first-keys")
+    renamed = stable_keys(versions, by, "first_sk", registry).withColumnRenamed("first_sk", "customer_sk")
+    return renamed.join(before, by, "left").select(
+        "customer_sk", "first_sk", "customer_id", F.col("__START_AT").alias("start")
+    )
+
+
 # --- history -----------------------------------------------------------------------------
 
 
@@ -558,6 +575,42 @@ def content_check_product(spark, sf):
     return reconcile.content_check(variants, ["product_id"], columns, ordered=True)
 
 
+def _prices(spark, sf):
+    parts = table(spark, sf, "part")
+    raised = F.when(F.col("p_partkey") % 1000 == 0, F.col("p_size") + 1).otherwise(F.col("p_size"))
+    return {
+        "stored": parts,
+        "raised": parts.withColumn("p_size", raised),
+        "lost": parts.filter("p_partkey % 777 <> 0"),
+    }
+
+
+@query
+def content_check_ranges(spark, sf):
+    """Parts against copies in which some are different and some are lost, by ranges of hashes."""
+    columns = ["p_name", "p_brand", "p_size"]
+    return content_check_by_ranges(_prices(spark, sf), ["p_partkey"], columns)
+
+
+@query
+def content_check_ranges_mismatches(spark, sf):
+    """Only those that differ, found in the ranges that differ."""
+    columns = ["p_name", "p_brand", "p_size"]
+    return content_check_by_ranges(
+        _prices(spark, sf), ["p_partkey"], columns, only_mismatches=True, unique_keys=True
+    )
+
+
+@query
+def content_check_ranges_fact(spark, sf):
+    """Facts looked up in two encodings; no range differs."""
+    columns = [
+        "order_date_key", "quantity", "unit_price", "discount_pct", "line_amount", "order_status",
+    ]
+    variants = {e: materialise(_fact(spark, sf, e), "fact") for e in ("closed", "half_open")}
+    return content_check_by_ranges(variants, ["order_id", "line_id"], columns)
+
+
 @query
 def content_check_customer(spark, sf):
     """History by comparison against history by change feed in the other encoding."""
