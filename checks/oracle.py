@@ -401,6 +401,15 @@ ORACLE: dict[str, str] = {
     "fact_without_broadcast": _FACT_ROWS,
     "star_by_batch_run": _FACT_ROWS,
     "star_by_incremental_run": _FACT_ROWS,
+    "star_by_arrivals": _FACT_ROWS,
+    "dim_customer_same_date": _with(
+        _STATES,
+        """SELECT method, customer_id, customer_name, email, address, city, country, segment,
+            DATE '1995-01-01' AS valid_from, DATE '9999-12-31' AS valid_to, true AS is_current
+        FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY batch_id DESC) AS place FROM states),
+             (VALUES ('history'), ('stream'), ('snapshots'), ('compare')) AS m(method)
+        WHERE place = 1""",
+    ),
     "fact_unmatched": _with(
         _VERSIONS + "," + _ORDERS,
         """SELECT CAST(year(order_date) AS INTEGER) AS order_year, count(*) AS orders,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +25,7 @@ from strata.operators.fact import build_fact
 from strata.operators.hashtree import content_check_by_ranges
 from strata.operators.lookup import lookup, lookup_scd2
 from strata.operators.registry import stable_keys
+from strata.operators.snapshots import read_snapshots, take_snapshot
 from strata.operators.skew import salted_join
 from strata.parallel import together
 from strata.plans import layers, retail
@@ -921,6 +922,49 @@ def dim_customer_by_stream(spark, sf):
     return tables.read_table(spark, f"{out}/gold/dim_customer").drop("customer_name")
 
 
+@query
+def star_by_arrivals(spark, sf):
+    """The fact after three arrivals: silver and history take in what is new each time."""
+    root, out = scratch_path(spark, "raw"), scratch_path(spark, "star")
+    arrivals = [
+        {"customers": ["batch_1"], "products": ["batch_1"], "orders": ["batch_1"], "order_lines": ["batch_1"]},
+        {"customers": ["batch_2"], "order_lines": [f"batch_{n}" for n in range(2, 6)]},
+        {"orders": ["batch_2"], "order_lines": [f"batch_{n}" for n in range(6, 9)]},
+    ]
+    for arrival in arrivals:
+        for entity, batches in arrival.items():
+            _export(spark, sf, root, entity, batches)
+        layers.run_incremental(spark, root, out, DATES, encoding="closed", id_type=ID, buckets=8)
+    return tables.read_table(spark, f"{out}/gold/fact_order_line")
+
+
+@query
+def dim_customer_same_date(spark, sf):
+    """Two batches with one date: every way to keep the history has the later batch."""
+    day = DATES["batch_1"]
+    states = materialise(
+        retail.customer_versions(RAW["customers"](spark, sf), dict.fromkeys(DATES, day), ID), "states"
+    )
+    keys, tracked, carried = ["customer_id"], retail.TRACKED, retail.CARRIED
+    feed, target = scratch_path(spark, "feed"), scratch_path(spark, "history")
+    states.repartition(3).write.parquet(feed)
+    made = compacted.Feed(keys, "_effective", tracked, carried, retail.SETTLED_BY, untracked="first", buckets=4)
+    stream = stream_table(spark, feed, states.schema, maxFilesPerTrigger="1")
+    compacted.absorb(stream, target, scratch_path(spark, "checkpoint"), made)
+    snapshots = scratch_path(spark, "snapshots")
+    take_snapshot(retail.date_state(states, day), snapshots, keys, tracked, carried, "_effective")
+    old, new = (retail.batch_state(states, b) for b in DATES)
+    found = {
+        "history": hist.scd2_history(states, keys, "_effective", tracked, carried, retail.SETTLED_BY),
+        "stream": hist.to_closed(compacted.read_history(spark, target)),
+        "snapshots": read_snapshots(spark, snapshots),
+        "compare": hist.scd2_compare(old, new, keys, tracked, carried, day, day),
+    }
+    columns = [*retail.COLUMNS["customers"], "valid_from", "valid_to", "is_current"]
+    named = [df.select(F.lit(n).alias("method"), *columns) for n, df in found.items()]
+    return reduce(DataFrame.unionByName, named)
+
+
 @query
 def star_by_snapshot_run(spark, sf):
     out = scratch_path(spark, "star")

@@ -248,12 +248,15 @@ def scd2_compare(
 
     A key only in the old snapshot, or in both without a tracked change, keeps its old row; a
     changed key gets the old row closed and the new one opened; a new key gets its new row.
-    One full outer join; every joined row turns into one or two versions on the spot.
+    Snapshots of one date are two states of one day, of which the new one counts. One full outer
+    join; every joined row turns into one or two versions on the spot.
     """
+    if new_from < old_from:
+        raise ValueError("the new snapshot has the earlier date")
     snapshot = old.select(*keys, *carried, *tracked).withColumn(VALID_FROM, F.lit(old_from))
     opened = snapshot.withColumns({VALID_TO: F.lit(OPEN_END), IS_CURRENT: F.lit(True)})
     later = new.select(*keys, *carried, *tracked).withColumn(VALID_FROM, F.lit(new_from))
-    return _apply_snapshot(opened, later, keys, tracked, carried)
+    return _apply_snapshot(opened, later, keys, tracked, carried, same_day=old_from == new_from)
 
 
 def scd2_fold(
@@ -289,7 +292,7 @@ def empty_history(spark, key_fields, attribute_fields) -> DataFrame:
     return spark.createDataFrame([], schema.add(IS_CURRENT, T.BooleanType()))
 
 
-def _apply_snapshot(opened, later, keys, tracked, carried) -> DataFrame:
+def _apply_snapshot(opened, later, keys, tracked, carried, same_day: bool = False) -> DataFrame:
     keys, attributes = list(keys), [*carried, *tracked]
     left = opened.select(*keys, F.struct(*attributes, VALID_FROM).alias("_open"))
     right = later.select(*keys, F.struct(*attributes, VALID_FROM).alias("_new"))
@@ -304,10 +307,13 @@ def _apply_snapshot(opened, later, keys, tracked, carried) -> DataFrame:
         )
 
     unchanged = same([opened_row[c] for c in tracked], [new_row[c] for c in tracked])
-    stays = new_row.isNull() | unchanged | (new_row[VALID_FROM] <= opened_row[VALID_FROM])
+    stays = new_row.isNull() if same_day else (
+        new_row.isNull() | unchanged | (new_row[VALID_FROM] <= opened_row[VALID_FROM])
+    )
+    replaces = F.lit(same_day) & new_row.isNotNull()
     open_end = F.lit(OPEN_END)
     versions = (
-        F.when(opened_row.isNull(), F.array(version(new_row, open_end, True)))
+        F.when(opened_row.isNull() | replaces, F.array(version(new_row, open_end, True)))
         .when(stays, F.array(version(opened_row, open_end, True)))
         .otherwise(
             F.array(

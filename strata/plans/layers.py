@@ -7,16 +7,18 @@ layers, so each layer starts from stored rows.
 
 from __future__ import annotations
 
+import json
+import re
+import uuid
+from collections import Counter
 from collections.abc import Mapping
 from datetime import date
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from strata.functions.batches import effective_date
-from strata.operators.clean import latest_wins, with_keys
-from strata.operators.history import empty_history, scd2_compare, scd2_fold, scd2_history, to_closed
+from strata.functions.batches import BATCH_PATTERN
+from strata.operators.history import scd2_compare, scd2_history, to_closed
 from strata.operators.quality import (
     column_tests,
     expect_or_drop,
@@ -26,11 +28,15 @@ from strata.operators.quality import (
     split_rejects,
     unique,
 )
+from strata.operators.snapshots import read_snapshots, take_snapshot
 from strata.parallel import together
 from strata.plans import retail
-from strata.sources.files import read_batches
-from strata.sources.tables import read_table, refresh_table
-from strata.streaming.changes import apply_changes, read_history
+from strata.scratch import materialise
+from strata.sources.files import batch_glob, read_batches
+from strata.sources.store import matching, read_text
+from strata.sources.tables import append_table, read_table, refresh_table
+from strata.sources.upsert import upsert
+from strata.streaming.compacted import Feed, absorb, read_history
 from strata.streaming.ingest import append_available, stream_batches, stream_table
 
 ENTITIES = list(retail.COLUMNS)
@@ -58,9 +64,12 @@ def _bronze(out: _Folder, raw_root: str) -> dict[str, int]:
 
 
 def _all_dated(out: _Folder, raw_root: str, dates: Mapping[str, date]) -> None:
-    """An error, before anything is written, if a batch of customers has no date."""
-    rows = read_batches(out.spark, raw_root, "customers", retail.COLUMNS["customers"])
-    found = {r[0] for r in rows.select("_batch_id").distinct().collect()}
+    """An error, before anything is written, if a batch of customers has no date.
+
+    Batches are the folders that hold files of customers; no file is opened.
+    """
+    files = matching(out.spark, batch_glob(raw_root, "customers"))
+    found = {re.search(BATCH_PATTERN, f.path).group(1) for f in files}
     if unknown := sorted(found - set(dates)):
         raise ValueError(f"no effective date for batch {', '.join(unknown)}")
 
@@ -95,6 +104,45 @@ def _silver(out: _Folder, id_type: str) -> dict[str, int]:
     return rows
 
 
+def _silver_by_arrival(out: _Folder, id_type: str, buckets: int) -> dict[str, int]:
+    """Cleaned tables, brought up to date from the bronze rows that are new since the last run.
+
+    Only key buckets with new rows are written. Rejects and unreadable values are those of the
+    new rows; rejects are added to the earlier ones, once for each micro-batch.
+    """
+
+    def clean(entity: str) -> dict[str, int]:
+        state = out.path("_checkpoints/silver", entity)
+        silver, rejects = out.path("silver", entity), out.path("rejects", entity)
+        readable, expected = retail.readable(entity, id_type), retail.expectations(entity)
+        broken: Counter[str] = Counter()
+
+        def take(batch: DataFrame, number: int) -> None:
+            rows = materialise(batch, "arrived")
+            typed = retail.typed(rows, entity, id_type)
+            kept, _ = expect_or_drop(typed, expected)
+            upsert(kept, silver, retail.KEYS[entity], retail.latest_order(kept, entity), buckets)
+            stream = json.loads(read_text(out.spark, f"{state}/metadata"))["id"]
+            append_table(split_rejects(typed, expected)[1], rejects, (stream, number))
+            for r in expectation_counts(rows, readable).collect() if readable else []:
+                broken[f"unreadable.{entity}.{r['rule']}"] += r["dropped"]
+
+        path = out.path("bronze", entity)
+        rows = stream_table(out.spark, path, read_table(out.spark, path).schema)
+        query = rows.writeStream.foreachBatch(take).option("checkpointLocation", state)
+        query.trigger(availableNow=True).start().awaitTermination()
+        counts = {
+            f"silver.{entity}": out.read("silver", entity).count(),
+            f"rejects.{entity}": out.read("rejects", entity).count(),
+        }
+        return counts | {rule: n for rule, n in broken.items() if n}
+
+    rows: dict[str, int] = {}
+    for counts in together({e: partial(clean, e) for e in ENTITIES}).values():
+        rows |= counts
+    return rows
+
+
 def _gold(out: _Folder, history: DataFrame, encoding: str) -> dict[str, int]:
     dims = {
         "dim_customer": lambda: retail.dim_customer(history, encoding),
@@ -117,6 +165,11 @@ def _gold(out: _Folder, history: DataFrame, encoding: str) -> dict[str, int]:
     return rows
 
 
+def _in_order(dated: tuple[str, date]) -> tuple[date, int]:
+    batch, effective = dated
+    return effective, int(batch.rpartition("_")[2])
+
+
 def run_batch(
     spark: SparkSession,
     raw_root: str,
@@ -125,8 +178,14 @@ def run_batch(
     method: str = "history",
     encoding: str = "closed",
     id_type: str = "int",
+    untracked: str = "first",
 ) -> dict[str, int]:
-    """All layers recomputed; history from all batches, or from two of them by comparison."""
+    """All layers recomputed; history from all batches, or from two of them by comparison.
+
+    ``untracked`` is what a version shows in columns that open none, see ``scd2_history``; a
+    comparison keeps the first. Of several batches of one date the one with the largest number
+    counts, in every run.
+    """
     out = _Folder(spark, out_root)
     _all_dated(out, raw_root, dates)
     rows = _bronze(out, raw_root)
@@ -135,12 +194,13 @@ def run_batch(
     tracked, carried = retail.TRACKED, retail.CARRIED
     if method == "history":
         history = scd2_history(
-            versions, ["customer_id"], "_effective", tracked, carried, encoding=encoding
-        )
+            versions, ["customer_id"], "_effective", tracked, carried,
+            retail.SETTLED_BY, encoding, untracked,
+        )
     elif method == "compare":
-        if len(dates) != 2 or encoding != "closed":
-            raise ValueError("a comparison takes two batches and gives closed validity")
-        (old_batch, old_from), (new_batch, new_from) = sorted(dates.items(), key=lambda d: d[1])
+        if len(dates) != 2 or encoding != "closed" or untracked != "first":
+            raise ValueError("a comparison takes two batches, gives closed validity, keeps the first")
+        (old_batch, old_from), (new_batch, new_from) = sorted(dates.items(), key=_in_order)
         old = retail.batch_state(versions, old_batch)
         new = retail.batch_state(versions, new_batch)
         history = scd2_compare(old, new, ["customer_id"], tracked, carried, old_from, new_from)
@@ -157,11 +217,12 @@ def run_incremental(
     encoding: str = "half_open",
     id_type: str = "int",
     buckets: int = 64,
+    untracked: str = "first",
 ) -> dict[str, int]:
-    """New files are appended to bronze and their customers applied to the history.
+    """New files are appended to bronze and taken into silver and the history; gold is recomputed.
 
-    Silver and gold are recomputed. Call it again when files have arrived. Files are read once:
-    the history takes its changes from the bronze table.
+    Call it again when files have arrived. Files are read once: silver and the history take
+    their rows from the bronze tables, each row once, and write what these touch.
     """
     out = _Folder(spark, out_root)
     _all_dated(out, raw_root, dates)
@@ -172,21 +233,17 @@ def run_incremental(
         return append_available(stream, out.path("bronze", entity), state)
 
     rows = together({f"bronze.{e}": partial(ingest, e) for e in ENTITIES})
-    rows |= _silver(out, id_type)
+    rows |= _silver_by_arrival(out, id_type, buckets)
     bronze_customers = out.path("bronze", "customers")
     schema = read_table(spark, bronze_customers).schema
     changes = retail.typed(stream_table(spark, bronze_customers, schema), "customers", id_type)
-    apply_changes(
-        changes.withColumn("_effective", effective_date("_batch_id", dict(dates))),
-        out.path("history", "customers"),
-        out.path("_checkpoints/history", "customers"),
-        ["customer_id"],
-        "_effective",
-        retail.TRACKED,
-        retail.CARRIED,
-        buckets=buckets,
-    )
-    history = read_history(spark, out.path("history", "customers"))
+    feed = Feed(
+        ["customer_id"], "_effective", retail.TRACKED, retail.CARRIED, retail.SETTLED_BY,
+        untracked=untracked, buckets=buckets,
+    )
+    target = out.path("history", "customers")
+    absorb(retail.dated(changes, dates), target, out.path("_checkpoints/history", "customers"), feed)
+    history = read_history(spark, target)
     if encoding == "closed":
         history = to_closed(history)
     return rows | _gold(out, history, encoding)
@@ -199,31 +256,25 @@ def run_snapshots(
     dates: Mapping[str, date],
     id_type: str = "int",
 ) -> dict[str, int]:
-    """One customer snapshot per batch, folded into the history in the order of the dates.
+    """One customer snapshot per date, folded into the history in the order of the dates.
 
-    Each state of the history is a table of its own, so no run overwrites what it reads.
+    Of several batches of one date the rows of the later one count. Only open versions are
+    written again; the history starts anew with every run.
     """
     out = _Folder(spark, out_root)
     _all_dated(out, raw_root, dates)
     rows = _bronze(out, raw_root)
     rows |= _silver(out, id_type)
-    typed = retail.typed(out.read("bronze", "customers"), "customers", id_type)
-    known = with_keys(typed, ["customer_id"])
-    attributes = [*retail.CARRIED, *retail.TRACKED]
-    fields = {f.name: f for f in known.schema.fields}
-    history = empty_history(spark, [fields["customer_id"]], [fields[a] for a in attributes])
-    for batch, effective in sorted(dates.items(), key=lambda d: d[1]):
-        # A key that a batch does not have is unchanged, so each batch is folded by itself.
-        own = known.filter(F.col("_batch_id") == batch)
-        state = latest_wins(own, ["customer_id"], attributes)
-        state = state.withColumn("_effective", F.lit(effective))
-        history = scd2_fold(
-            history, state, ["customer_id"], retail.TRACKED, retail.CARRIED, "_effective"
+    versions = retail.customer_versions(out.read("bronze", "customers"), dates, id_type)
+    versions = materialise(versions, "customer-versions")
+    path = f"{out.path('history', 'customers')}/{uuid.uuid4().hex}"
+    # A key that a snapshot does not have is unchanged, so each is folded by itself.
+    for effective in sorted(set(dates.values())):
+        state = retail.date_state(versions, effective)
+        take_snapshot(
+            state, path, ["customer_id"], retail.TRACKED, retail.CARRIED, "_effective"
         )
-        path = out.path("history", f"upto_{effective:%Y%m%d}")
-        refresh_table(history, path)
-        history = read_table(spark, path)
-    return rows | _gold(out, history, "closed")
+    return rows | _gold(out, read_snapshots(spark, path), "closed")
 
 
 def layer_tests(spark: SparkSession, out_root: str, batches: list[str]) -> DataFrame:

@@ -130,11 +130,15 @@ def typed(raw: DataFrame, entity: str, id_type: str = "int") -> DataFrame:
     return rows
 
 
-def latest(rows: DataFrame, entity: str) -> DataFrame:
-    """The row of the latest batch per key; equal batches are settled by the other columns."""
+def latest_order(rows: DataFrame, entity: str) -> list[Column | str]:
+    """By batch; equal batches are settled by the other columns."""
     others = [c for c in rows.columns if c not in KEYS[entity] and c != "_batch_id"]
-    known = with_keys(rows, KEYS[entity])
-    return latest_wins(known, KEYS[entity], [batch_number("_batch_id"), *others])
+    return [batch_number("_batch_id"), *others]
+
+
+def latest(rows: DataFrame, entity: str) -> DataFrame:
+    """The row of the latest batch per key; see :func:`latest_order`."""
+    return latest_wins(with_keys(rows, KEYS[entity]), KEYS[entity], latest_order(rows, entity))
 
 
 def silver(raw: DataFrame, entity: str, id_type: str = "int") -> DataFrame:
@@ -147,16 +151,32 @@ def customer_versions(
 ) -> DataFrame:
     """Every batch's states of every customer, cleaned and dated.
 
-    A customer may occur twice in a batch; the history settles that by the values.
+    ``_batch_no`` tells batches of one date apart, the later one counts. A customer may occur
+    twice in a batch; the history settles that by the values.
     """
-    rows = with_keys(typed(raw, "customers", id_type), KEYS["customers"])
-    return rows.withColumn("_effective", effective_date("_batch_id", dict(dates)))
+    return dated(with_keys(typed(raw, "customers", id_type), KEYS["customers"]), dates)
+
+
+def dated(rows: DataFrame, dates: Mapping[str, date]) -> DataFrame:
+    """Rows with the date and the number of their batch, by which history is ordered."""
+    return rows.withColumns(
+        {"_effective": effective_date("_batch_id", dict(dates)), "_batch_no": batch_number("_batch_id")}
+    )
+
+
+# What settles several states of a customer on one date: the batch, and then the values.
+SETTLED_BY = ["_batch_no", *CARRIED, *TRACKED]
 
 
 def batch_state(versions: DataFrame, batch: str) -> DataFrame:
     """One batch of :func:`customer_versions` with one row per customer."""
-    rows = versions.filter(F.col("_batch_id") == batch)
-    return latest_wins(rows, KEYS["customers"], [*CARRIED, *TRACKED])
+    return latest_wins(versions.filter(F.col("_batch_id") == batch), KEYS["customers"], SETTLED_BY)
+
+
+def date_state(versions: DataFrame, effective: date) -> DataFrame:
+    """All batches of a date, with the latest row of each customer."""
+    rows = versions.filter(F.col("_effective") == F.lit(effective))
+    return latest_wins(rows, KEYS["customers"], SETTLED_BY)
 
 
 def dim_customer(history: DataFrame, encoding: str = "closed") -> DataFrame:

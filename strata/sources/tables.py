@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from strata.scratch import materialise
 from strata.sources import published
+from strata.sources.upsert import read_upserted
 
 
 def refresh_table(
@@ -38,11 +39,39 @@ def refresh_table(
     return rows
 
 
+def append_table(df: DataFrame, path: str, once: tuple[str, int] | None = None) -> int:
+    """Add the rows of ``df`` to the table at ``path``; the number of rows added.
+
+    ``once`` names a stream and the number of its micro-batch: one that has been added before is
+    not added again. The columns of a table stay.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    version = published.latest(spark, path)
+    schema = df.schema.jsonValue()
+    if version.notes.get("schema", schema) != schema:
+        raise ValueError(f"the table was made with {version.notes['schema']}")
+    taken = dict(version.notes.get("taken", {}))
+    if once is not None and taken.get(once[0], -1) >= once[1]:
+        return 0
+    folder = published.new_folder(path)
+    df.write.parquet(f"{path}/{folder}")
+    rows = published.rows_of(spark, path, [folder], df.schema).count()
+    listed = [*version.folders.get("rows", []), *([folder] if rows else [])]
+    if once is not None:
+        taken[once[0]] = once[1]
+    notes = {"schema": schema, "rows": version.notes.get("rows", 0) + rows, "taken": taken}
+    published.publish(spark, path, {"rows": listed}, notes, version)
+    published.expire(spark, path)
+    return rows
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """The rows of a table as it is now: a published one, or a plain folder that streams append to."""
     version = published.latest(spark, path)
     if version is published.NONE:
         return spark.read.parquet(path)
+    if "buckets" in version.notes:
+        return read_upserted(spark, path)
     schema = T.StructType.fromJson(version.notes["schema"])
     return published.rows_of(spark, path, version.folders["rows"], schema)
 

@@ -131,7 +131,7 @@ def test_rejects_are_counted_and_set_aside(spark, tmp_path):
     written = layers.run_batch(spark, raw, out, DATES)
     assert written["silver.orders"] == 8
     assert written["rejects.orders"] == 2
-    aside = spark.read.parquet(f"{out}/rejects/orders").collect()
+    aside = read_table(spark, f"{out}/rejects/orders").collect()
     assert [r.failed_rules for r in aside] == [["valid_order_id"]] * 2
 
 
@@ -161,7 +161,7 @@ def test_rejects_of_an_earlier_run_do_not_stay(spark, tmp_path):
     out = str(tmp_path / "out")
     assert layers.run_batch(spark, write_raw(tmp_path / "a", batches), out, DATES)["rejects.orders"] == 1
     assert layers.run_batch(spark, write_raw(tmp_path / "b"), out, DATES)["rejects.orders"] == 0
-    assert spark.read.parquet(f"{out}/rejects/orders").count() == 0
+    assert read_table(spark, f"{out}/rejects/orders").count() == 0
 
 
 def test_unreadable_measures_are_counted(spark, tmp_path):
