@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.skew import fits_broadcast
 from strata.ship import ship_package
 
 # Fixed value: the white space that separates words.
@@ -88,17 +89,33 @@ def attach(
     return salted.join(repeated, [key, "_salt"], "left").drop("_salt")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores in front as make it no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def _matching(docs: DataFrame, rows: DataFrame, names: dict[str, Column], how: str) -> DataFrame:
-    left = docs.withColumns({f"_matching_{n}": c for n, c in names.items()})
-    right = rows.select(*[F.col(n).alias(f"_other_{n}") for n in names])
+    mine = {n: fresh(docs, f"_matching_{n}") for n in names}
+    other = {n: fresh(docs, f"_other_{n}") for n in names}
+    left = docs.withColumns({mine[n]: c for n, c in names.items()})
+    right = rows.select(*[F.col(n).alias(other[n]) for n in names])
     same = F.lit(True)
     for n in names:
-        same = same & F.col(f"_matching_{n}").eqNullSafe(F.col(f"_other_{n}"))
-    return left.join(right, same, how).select(*docs.columns)
+        same = same & F.col(mine[n]).eqNullSafe(F.col(other[n]))
+    # A short list goes to the documents; otherwise both are dealt out by it.
+    if fits_broadcast(right, ()):
+        right = F.broadcast(right)
+    return left.join(right, same, how).select(*[docs[c] for c in docs.columns])
 
 
 def without(docs: DataFrame, rows: DataFrame, names: dict[str, Column]) -> DataFrame:
-    """``docs`` less those whose ``names`` (NULL-safe) are in ``rows``, columns as before."""
+    """``docs`` less those whose ``names`` (NULL-safe) are in ``rows``, columns as before.
+
+    ``rows`` are measured first, so give stored ones.
+    """
     return _matching(docs, rows, names, "left_anti")
 
 

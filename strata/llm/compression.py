@@ -16,15 +16,18 @@ from functools import cached_property
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import left_out, picked
+from strata.llm.common import left_out, picked, prepared
 
 # Labelled texts per class that are used to learn, and bytes of them for a dictionary.
 SAMPLE = 3000
 SAMPLE_BYTES = 24 << 20
+# Bytes of labelled texts per class that come to the driver; longer texts than a sixteenth of
+# them teach nothing.
+TAUGHT_BYTES = 32 << 20
 DICTIONARY = 112_640
 BLOCK = 1024
 LEVEL = 3
@@ -123,13 +126,17 @@ def learnt(
     label: str = "quality",
     held_out: Column | None = None,
     sample: int = SAMPLE,
+    taught_bytes: int = TAUGHT_BYTES,
 ) -> Model:
     """The model of at most ``sample`` labelled texts per class outside ``held_out``.
 
     The sample is drawn by a hash of the key from ``labels``, whatever the size of the tables;
     its keys, a list of fixed length, are looked up in ``docs`` in one pass. NULL labels, NULL
-    keys and labels without a document teach nothing; a key labelled twice counts once.
+    keys and labels without a document teach nothing; a key labelled twice counts once, and so
+    does a key with several documents (the smallest text). Of each class ``taught_bytes`` are
+    used, in the order of the hash; texts beyond a sixteenth of that are left out.
     """
+    prepared(docs.sparkSession)
     held = left_out(key, 3) if held_out is None else held_out
     known = labels.filter(F.col(key).isNotNull() & F.col(label).isin(0, 1) & ~held)
     known = known.groupBy(F.col(key).alias("_key")).agg(F.max(label).alias("_label"))
@@ -139,9 +146,18 @@ def learnt(
         some = some.limit(sample)
         drawn = some if drawn is None else drawn.unionByName(some)
     rows = picked(docs, _key=key, _text=text)
-    found = rows.join(F.broadcast(drawn), "_key").orderBy(F.xxhash64("_key"), "_key", "_text")
-    found = found.select("_label", "_text").limit(4 * sample).collect()
-    texts = {v: [r["_text"] or "" for r in found if r["_label"] == v] for v in (0, 1)}
+    text_of = F.coalesce("_text", F.lit(""))
+    rows = rows.select("_key", text_of.alias("_text"), F.octet_length(text_of).alias("_size"))
+    short = rows.filter(F.col("_size") <= taught_bytes // 16)
+    single = short.join(F.broadcast(drawn), "_key").groupBy("_key", "_label").agg(
+        F.min(F.struct("_text", "_size")).alias("_row")
+    )
+    # At most ``sample`` rows of a class.
+    by_hash = Window.partitionBy("_label").orderBy(F.xxhash64("_key"), "_key")
+    running = F.sum("_row._size").over(by_hash.rowsBetween(Window.unboundedPreceding, 0))
+    fitting = single.withColumn("_running", running).filter(F.col("_running") <= taught_bytes)
+    found = fitting.orderBy(F.xxhash64("_key"), "_key").select("_label", "_row._text").collect()
+    texts = {v: [r["_text"] for r in found if r["_label"] == v] for v in (0, 1)}
     return learn(texts[1], texts[0])
 
 
@@ -164,7 +180,8 @@ def quality_scores(
     """One row per row of ``docs``: ``key``, held_out, score, predicted.
 
     A third of all keys is held out and teaches nothing. NULL is an empty text and has a score;
-    equal texts have equal scores.
+    long texts are scored whole; equal texts, repeated rows among them, have equal scores. No
+    documents give no rows; without labels every score is 1/2. Other columns may have any name.
     """
     model = learnt(docs, labels, key, text, label, left_out(key, parts))
     rows = picked(docs, _key=key, _text=text)
@@ -185,6 +202,9 @@ def accepted(
     label: str = "quality",
     least: float = 0.5,
 ) -> DataFrame:
-    """The rows of ``docs`` with a score of at least ``least``, columns as they are."""
+    """The rows of ``docs`` with a score of at least ``least``, columns as they are.
+
+    Rows are judged one by one, as in :func:`quality_scores`; columns may have any name.
+    """
     model = learnt(docs, labels, key, text, label)
     return docs.filter(_scorer(model)(F.col(text)) >= least)

@@ -1,7 +1,7 @@
 """Exact duplicates by progressive refinement: length, hash of the beginning, hash of the whole.
 
-Only DataFrame functions. The first pass keeps two numbers per document. Lengths and then
-(length, beginning) pairs that occur once are out; the others become a bitmap of a fixed size,
+Only DataFrame functions. The first pass keeps two numbers per document. Lengths, and pairs of
+length and beginning, that occur once are out; the others become a bitmap of a fixed size,
 so that the second pass knows, document by document and without moving texts, whose whole
 content has to be hashed. A wrong hit in the bitmap costs one more hash and changes nothing.
 """
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import SPACE, attach, picked, within, without
+from strata.llm.common import SPACE, attach, fresh, picked, within, without
 from strata.scratch import materialise
 
 HEAD = 256
@@ -63,8 +63,9 @@ def exact_groups(
     """
     rows = picked(docs, _key=key, _text=text)
     first = materialise(_keyed(rows, head).select("_length", "_head"), "exact-heads")
-    lengths = first.groupBy("_length").count().filter("count > 1").select("_length")
-    heads = first.join(lengths, "_length", "left_semi").groupBy("_length", "_head").count()
+    # A length that occurs once has no beginning that occurs twice: one grouping does both steps,
+    # and documents of one length are counted in the map tasks and never meet in one.
+    heads = first.groupBy("_length", "_head").count()
     slots = heads.filter("count > 1").select(_slot(filter_bits).alias("_slot"))
     bitmap = slots.groupBy(F.bitmap_bucket_number("_slot").alias("_bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits")
@@ -104,14 +105,24 @@ def exact_groups(
 def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without later copies, columns as they are; see :func:`exact_groups`.
 
-    Of rows that repeat both key and text one stays.
+    Of rows that repeat both key and text one stays. Where keys are unique and never NULL,
+    whole texts are hashed only where the refinement has left them; otherwise rows are told
+    apart by key and hash, so all are hashed. NULL and empty texts are copies of each other, long
+    texts are compared whole, an empty table stays empty, and columns may have any name.
     """
+    groups = materialise(exact_groups(docs, key, text), "exact-groups")
+    dropped = groups.filter("NOT kept")
+    unsure = groups.groupBy(key).count().filter(F.col(key).isNull() | (F.col("count") > 1))
+    if unsure.isEmpty():
+        return without(docs, dropped.select(key), {key: F.col(key)})
     groups = materialise(exact_groups(docs, key, text, digests=True), "exact-groups")
     names = {key: F.col(key), "text_sha256": F.sha2(normalised(F.col(text)), 256)}
     kept = without(docs, groups.filter("NOT kept"), names)
     repeated = groups.filter("kept").groupBy(key, "text_sha256").count().filter("count > 1")
+    repeated = materialise(repeated, "exact-repeated")
     if repeated.isEmpty():
         return kept
-    again = within(kept, repeated, names).withColumns({f"_{n}": c for n, c in names.items()})
-    once = again.dropDuplicates([f"_{n}" for n in names]).select(*docs.columns)
+    marks = {fresh(docs, f"_{n}"): c for n, c in names.items()}
+    again = within(kept, repeated, names).withColumns(marks)
+    once = again.dropDuplicates(list(marks)).select(*docs.columns)
     return without(kept, repeated, names).unionByName(once)

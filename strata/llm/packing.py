@@ -28,9 +28,10 @@ from strata.llm.encoding import encoder, id_bytes
 from strata.scratch import materialise
 
 CAPACITY = 2048
-# Steps of the search, and fillings tried per step of a branch.
+# Choices of the search, and partial fillings looked at for each, after which the best plan seen
+# is taken.
 STEPS = 20_000
-CHOICES = 3
+PARTIAL = 100
 
 
 # --- the plan ----------------------------------------------------------------------------
@@ -120,55 +121,57 @@ class _Left:
             self.total += s * copies
 
 
-def _largest(left: _Left, room: int, used: dict[int, int]) -> int | None:
-    """The largest size that fits and is not used up."""
-    at = bisect.bisect_right(left.sizes, room) - 1
-    while at >= 0 and left.count[left.sizes[at]] <= used.get(left.sizes[at], 0):
-        at -= 1
-    return left.sizes[at] if at >= 0 else None
+def completions(
+    left: _Left, capacity: int, waste: int, budget: list[int]
+) -> Iterator[tuple[int, ...]]:
+    """All undominated fillings around the largest size that waste at most ``waste``.
 
-
-def completions(left: _Left, capacity: int, choices: int) -> list[tuple[int, ...]]:
-    """Undominated fillings around the largest size, least waste first, at most ``choices``.
-
-    Looks for fillings without waste by two, three and then more companions; larger companions
-    first, which keeps small sizes for later. A filling to which something left could be added
-    is dominated and never given.
+    Those with the least waste come first: each round of the depth-first search takes a range
+    of wastes twice as wide as the one before. Companions are taken by falling size, any number
+    of them. A filling is dominated if something left fits into what it wastes, or if something
+    left could take the place of a smaller companion. ``budget[0]`` is the number of partial
+    fillings that may still be looked at.
     """
-    first = left.sizes[-1]
-    found: dict[tuple[int, ...], int] = {}
-
-    def close(filling: list[int], used: dict[int, int]) -> None:
-        """Best fit into what room is left, so that nothing dominates the filling."""
-        own, mine = list(filling), dict(used)
-        room = capacity - sum(own)
-        while room and (s := _largest(left, room, mine)) is not None:
-            own.append(s)
-            mine[s] = mine.get(s, 0) + 1
-            room -= s
-        found[tuple(sorted(own, reverse=True))] = room
-
-    close([first], {first: 1})
-    room = capacity - first
-    exact = sum(waste == 0 for waste in found.values())
-    tried = 0
-    for second in reversed(left.sizes[: bisect.bisect_right(left.sizes, room)]):
-        if exact >= choices or tried > 64:
-            break
-        used = {first: 1}
-        used[second] = used.get(second, 0) + 1
-        if left.count[second] < used[second]:
-            continue
-        tried += 1
-        rest = room - second
-        if rest == 0 or left.count.get(rest, 0) > used.get(rest, 0):
-            sizes = (first, second) if rest == 0 else (first, second, rest)
-            found[tuple(sorted(sizes, reverse=True))] = 0
-        else:
-            close([first, second], used)
-        exact = sum(waste == 0 for waste in found.values())
-    ordered = sorted(found, key=lambda f: (found[f], len(f), [-s for s in f]))
-    return ordered[:choices]
+    first, sizes = left.sizes[-1], left.sizes
+    chosen: dict[int, int] = {first: 1}
+
+    def free(size: int) -> bool:
+        return left.count[size] > chosen.get(size, 0)
+
+    def dominated(room: int) -> bool:
+        if not room:
+            return False
+        for size in chosen:
+            # From the companion's own size on, upwards: also what fits beside it all.
+            at = bisect.bisect_right(sizes, size)
+            while size != first and at < len(sizes) and sizes[at] <= size + room:
+                if free(sizes[at]):
+                    return True
+                at += 1
+        return any(free(s) for s in sizes[: bisect.bisect_right(sizes, room)])
+
+    def search(top: int, room: int, low: int, high: int) -> Iterator[tuple[int, ...]]:
+        """Companions among ``sizes[:top]`` so that between ``low`` and ``high`` is wasted."""
+        budget[0] -= 1
+        if budget[0] < 0:
+            return
+        if low <= room <= high and not dominated(room):
+            yield tuple(sorted((s for s, n in chosen.items() for _ in range(n)), reverse=True))
+        for at in range(min(top, bisect.bisect_right(sizes, room)) - 1, -1, -1):
+            size, before = sizes[at], chosen.get(sizes[at], 0)
+            for more in range(min(left.count[size] - before, room // size), 0, -1):
+                chosen[size] = before + more
+                yield from search(at, room - more * size, low, high)
+            if before:
+                chosen[size] = before
+            else:
+                chosen.pop(size, None)
+
+    low = 0
+    while low <= waste:
+        high = min(waste, 2 * low)
+        yield from search(len(sizes), capacity - first, low, high)
+        low = high + 1
 
 
 def _copies(left: _Left, filling: tuple[int, ...]) -> int:
@@ -176,12 +179,15 @@ def _copies(left: _Left, filling: tuple[int, ...]) -> int:
 
 
 def plan(
-    counts: np.ndarray, capacity: int = CAPACITY, steps: int = STEPS, choices: int = CHOICES
+    counts: np.ndarray, capacity: int = CAPACITY, steps: int = STEPS
 ) -> list[tuple[int, tuple[int, ...]]]:
     """(copies, sizes) per filling; every item of the histogram is in exactly one.
 
-    Depth first with at most ``steps`` steps; the best plan seen is returned. Each step uses up
-    a size, so one descent takes about as many steps as there are sizes.
+    Depth first: each filling around the largest size left is opened as often as the counts
+    allow, and, where that leads to no better plan, once. A branch that wastes more than a
+    better plan can, or that came up before with no more sequences open, is cut. That tries all
+    plans, unless ``steps`` choices or ``PARTIAL`` partial fillings for each of them have been
+    looked at; then the best plan seen is returned, which is never worse than best fit.
     """
     counts = np.asarray(counts)
     best = best_fit(counts, capacity)
@@ -189,33 +195,39 @@ def plan(
     left = _Left(counts)
     path: list[tuple[int, tuple[int, ...]]] = []
     opened = 0
-    # Frames of the depth-first search: fillings not tried yet at that depth.
-    frames: list[list[tuple[int, ...]]] = []
-    while fewest > bound and steps > 0:
+    seen: dict[tuple[tuple[int, int], ...], int] = {}
+    budget = [steps * PARTIAL]
+
+    def moves() -> Iterator[tuple[int, tuple[int, ...]]]:
+        """Copies and fillings to try where ``left`` is now."""
+        waste = (fewest - 1 - opened) * capacity - left.total
+        for filling in completions(left, capacity, waste, budget):
+            most = _copies(left, filling)
+            yield most, filling
+            if most > 1:
+                yield 1, filling
+
+    frames = [moves()] if fewest > bound else []
+    while frames and fewest > bound and steps > 0:
+        move = next(frames[-1], None)
         steps -= 1
-        if not left.sizes:
-            if opened < fewest:
-                best, fewest = list(path), opened
-        elif opened - (-left.total // capacity) < fewest:  # else the waste is too much already
-            frames.append(completions(left, capacity, choices)[::-1])
-            copies = _copies(left, filling := frames[-1].pop())
-            left.take(filling, copies)
-            path.append((copies, filling))
-            opened += copies
-            continue
-        while frames:  # back to the last step with another filling
-            copies, filling = path.pop()
-            left.give(filling, copies)
-            opened -= copies
-            if frames[-1]:
-                copies = _copies(left, filling := frames[-1].pop())
-                left.take(filling, copies)
-                path.append((copies, filling))
-                opened += copies
-                break
+        if move is None:
             frames.pop()
-        else:
-            break
+            if path:
+                copies, filling = path.pop()
+                left.give(filling, copies)
+                opened -= copies
+            continue
+        copies, filling = move
+        left.take(filling, copies)
+        path.append(move)
+        opened += copies
+        state = tuple((s, left.count[s]) for s in left.sizes)
+        if not left.sizes and opened < fewest:
+            best, fewest = list(path), opened
+        hopeless = opened - (-left.total // capacity) >= fewest or seen.get(state, fewest) <= opened
+        seen[state] = min(opened, seen.get(state, opened))
+        frames.append(iter(()) if hopeless else moves())
     return best
 
 

@@ -15,6 +15,8 @@ import binascii
 import json
 import re
 from bisect import bisect_left, bisect_right
+from collections import defaultdict
+from collections.abc import Iterator
 from itertools import accumulate
 
 import pandas as pd
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import picked
+from strata.llm.common import picked, prepared
 
 # --- fixed values: base patterns, markers of key formats --------------------------------------
 
@@ -43,9 +45,8 @@ SEQUENCE, INTEGER, OCTETS, CONSTRUCTED = 0x30, 0x02, 0x04, 0x20
 
 _LONG_HEX = re.compile(rf"[0-9a-f]{{{HEX_LEAST},}}")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_-])ey[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-_PEM = re.compile(
-    r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY-----(.*?)-----END \1PRIVATE KEY-----", re.S
-)
+_PEM_BEGIN = re.compile(r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY-----")
+_PEM_END = re.compile(r"-----END ([A-Z0-9 ]*)PRIVATE KEY-----")
 # The smallest secret, "token=" and six characters, has 12 bytes: 16 characters or 24 digits.
 _RUN_LEAST = 16
 _RUN = re.compile(rf"[A-Za-z0-9+/_-]{{{_RUN_LEAST},}}={{0,2}}")
@@ -294,6 +295,24 @@ def _wrapped_spans(m: re.Match, nested: int) -> list[Span]:
     return found
 
 
+def _pem_blocks(text: str) -> Iterator[tuple[int, int, int, int]]:
+    """Start, inner start, inner end and end of each block, in order and without overlap.
+
+    The marks are collected once and paired by bisection, so beginnings without an end cost
+    nothing more.
+    """
+    stops: dict[str, list[tuple[int, int]]] = defaultdict(list)
+    for m in _PEM_END.finditer(text):
+        stops[m[1]].append(m.span())
+    done = 0
+    for m in _PEM_BEGIN.finditer(text):
+        known = stops.get(m[1], [])
+        at = bisect_left(known, (m.end(), 0))
+        if m.start() >= done and at < len(known):
+            stop, done = known[at]
+            yield m.start(), m.end(), stop, done
+
+
 def confirmed_spans(text: str, nested: int = NESTED) -> list[Span]:
     """Spans whose decoded structure confirms a secret; none inside another of a key or run."""
     spans: list[Span] = []
@@ -304,12 +323,12 @@ def confirmed_spans(text: str, nested: int = NESTED) -> list[Span]:
     within = bytearray(len(text))
     whole: list[Span] = []
     if "PRIVATE KEY-----" in text:
-        for m in _PEM.finditer(text):
-            data = unbase64("".join(_HEADER.sub("", _BREAKS.sub("\n", m[2])).split()))
+        for start, inner, stop, end in _pem_blocks(text):
+            data = unbase64("".join(_HEADER.sub("", _BREAKS.sub("\n", text[inner:stop])).split()))
             # An encrypted key has headers of its own instead of a readable structure.
-            if data and (is_key(data) or "ENCRYPTED" in m[0]):
-                whole.append(("private_key", m.start(), m.end()))
-                within[m.start() : m.end()] = b"\1" * (m.end() - m.start())
+            if data and (is_key(data) or "ENCRYPTED" in text[start:end]):
+                whole.append(("private_key", start, end))
+                within[start:end] = b"\1" * (end - start)
     for m in _WRAPPED.finditer(text):
         if within.find(0, m.start(), m.end()) >= 0:
             whole += _wrapped_spans(m, nested)
@@ -349,9 +368,11 @@ def _spans(texts: pd.Series) -> pd.Series:
 def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``key`` and spans, an array of kind, start and end.
 
-    Places are code points, the end is exclusive. NULL and empty texts have no spans; repeated
-    rows are done one by one.
+    Places are code points, the end is exclusive. NULL and empty texts have no spans; long texts
+    are read whole, in time proportional to their length; repeated rows are done one by one. No
+    documents give no rows. Other columns are left out and may have any name.
     """
+    prepared(docs.sparkSession)
     rows = picked(docs, _key=key, _text=text)
     return rows.select(F.col("_key").alias(key), _spans("_text").alias("spans"))
 

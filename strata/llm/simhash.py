@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import attach, picked, without
+from strata.llm.common import attach, fresh, picked, prepared, without
 from strata.scratch import materialise
 
 BITS = 3
@@ -58,16 +58,22 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(2 * ones > total, bitorder="little").view("<u8")[0])
 
 
-@F.pandas_udf(T.LongType())
-def _print_of(texts: pd.Series) -> pd.Series:
-    found = np.array([fingerprint(t) for t in texts], dtype=np.uint64)
-    return pd.Series(found.view(np.int64))
+def _printer():
+    """The function of a column; made for each use, since it keeps what the session ships then."""
+
+    @F.pandas_udf(T.LongType())
+    def print_of(texts: pd.Series) -> pd.Series:
+        found = np.array([fingerprint(t) for t in texts], dtype=np.uint64)
+        return pd.Series(found.view(np.int64))
+
+    return print_of
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """_key and _print (the fingerprint as a signed 64-bit number) of every row."""
+    prepared(docs.sparkSession)
     rows = picked(docs, _key=key, _text=text)
-    return rows.select("_key", _print_of("_text").alias("_print"))
+    return rows.select("_key", _printer()("_text").alias("_print"))
 
 
 def _signed(value: int) -> int:
@@ -283,15 +289,17 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     """``docs`` with one document of each group, that with the smallest key; columns as they are.
 
     Where keys repeat or are NULL, rows are told apart by key and fingerprint, and one row stays
-    of those that repeat both.
+    of those that repeat both. NULL and empty texts are near each other, long texts are taken
+    whole, an empty table stays empty, and columns may have any name.
     """
+    prepared(docs.sparkSession)
     groups = materialise(near_groups(docs, key, text), "near-groups")
     dropped = groups.filter(~F.col(key).eqNullSafe(F.col("component_id")))
     unsure = groups.groupBy(key).count().filter(F.col(key).isNull() | (F.col("count") > 1))
     if unsure.isEmpty():
         return without(docs, dropped.select(key), {key: F.col(key)})
-    names = {key: F.col(key), "fingerprint": F.lpad(F.lower(F.hex(_print_of(text))), 16, "0")}
+    names = {key: F.col(key), "fingerprint": F.lpad(F.lower(F.hex(_printer()(text))), 16, "0")}
     kept = without(docs, dropped.select(*names), names)
-    return kept.withColumn("_near_mark", names["fingerprint"]).dropDuplicates(
-        [key, "_near_mark"]
-    ).drop("_near_mark")
+    mark = fresh(docs, "_near_mark")
+    once = kept.withColumn(mark, names["fingerprint"]).dropDuplicates([key, mark])
+    return once.select(*docs.columns)

@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from strata.llm import exact, simhash
 from tests.llm.fixtures import documents, empty, normal, texts
@@ -171,3 +172,29 @@ def test_pivots_discard_no_linked_pair():
     moved = prints ^ np.uint64(0b1011)
     table = simhash.distances(np.concatenate([prints, moved]), simhash.pivots())
     assert np.abs(table[:500] - table[500:]).max() <= 3
+
+
+def test_names_that_operators_use_inside_may_be_columns(spark):
+    """Repeated rows take the way over marks; the columns are as they were."""
+    names = ["_doc_id", "_text_sha256", "_near_mark", "_matching_doc_id", "_other_doc_id", "_matching_fingerprint"]
+    rows = [(1, "a b c d e"), (1, "a b c d e"), (2, "a b c d e"), (3, "other words are here now"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for name in names:
+        docs = docs.withColumn(name, F.lit("mine"))
+    for kept in (exact.exact_dedup(docs), simhash.near_dedup(docs)):
+        assert kept.columns == docs.columns
+        found = kept.collect()
+        assert sorted((r.doc_id or 0, r.text or "") for r in found) == [
+            (0, ""), (1, "a b c d e"), (3, "other words are here now")
+        ]
+        assert all(r[n] == "mine" for r in found for n in names)
+
+
+def test_unique_keys_are_told_apart_without_hashes(spark):
+    rows = [(i, f"text number {i % 40}" + " and more words" * (i % 3)) for i in range(120)]
+    docs = documents(spark, rows)
+    kept = {r.doc_id for r in exact.exact_dedup(docs).collect()}
+    first = {}
+    for key, text in rows:
+        first.setdefault(text, key)
+    assert kept == set(first.values())

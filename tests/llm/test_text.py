@@ -86,6 +86,24 @@ def test_rejected_documents_go(graded):
     assert sum(1 - truth[i] for i in set(ids)) <= 3
 
 
+def test_a_key_with_many_documents_counts_once(spark):
+    rows = [(i, f"good prose number {i} about rivers and gardens " * 6) for i in range(120)]
+    rows += [(1000 + i, f"BUY NOW {i} cheap $$$ click " * 8) for i in range(120)]
+    labels = spark.createDataFrame([(k, int(k < 1000)) for k, _ in rows], "doc_id long, quality int")
+    hot = rows + [(1003, rows[123][1])] * 600
+    for listed in (rows, hot):
+        model = compression.learnt(documents(spark, listed), labels, sample=40)
+        assert model.good and model.bad
+    one, two = (
+        {r.doc_id: r.score for r in compression.quality_scores(documents(spark, listed), labels).collect()}
+        for listed in (rows, hot)
+    )
+    assert one == two
+    # Bytes are bounded: with room for a few texts only, only they are learnt from.
+    few = compression.learnt(documents(spark, rows), labels, taught_bytes=16_000)
+    assert 0 < len(few.good) <= 16_000
+
+
 def test_no_labels_and_no_documents(spark, graded):
     _, docs, labels = graded
     none = compression.quality_scores(docs, labels.limit(0)).collect()
@@ -258,6 +276,9 @@ def test_runs_after_0x_and_wrapped_keys():
 
 def test_runs_take_time_in_proportion():
     began = time.perf_counter()
+    begin = "-----BEGIN PRIVATE KEY-----\n"
+    assert secret_scan.confirmed_spans(begin * 20_000) == []
+    assert secret_scan.confirmed_spans(begin * 20_000 + "-----END RSA PRIVATE KEY-----") == []
     for text in ("A" * 300_000, "ab\n" * 100_000, (b64("plain words ") + "\n") * 10_000, "-" * 300_000, "0a" * 150_000):
         assert secret_scan.confirmed_spans(text) == []
     assert time.perf_counter() - began < 30

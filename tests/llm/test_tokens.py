@@ -182,3 +182,53 @@ def test_sequences_are_joined(spark):
 
 def test_packing_of_nothing(spark):
     assert packing.packed(empty(spark), BYTES, 0).count() == 0
+
+
+def exact_fewest(items, capacity, most):
+    """Fewest sequences, by trying every place for every item; for few items."""
+    items, best = sorted(items, reverse=True), [most]
+
+    def place(at, rooms):
+        if len(rooms) >= best[0]:
+            return
+        if at == len(items):
+            best[0] = len(rooms)
+            return
+        for room in sorted({r for r in rooms if r >= items[at]}):
+            rest = list(rooms)
+            rest.remove(room)
+            place(at + 1, [*rest, room - items[at]])
+        place(at + 1, [*rooms, capacity - items[at]])
+
+    place(0, [])
+    return best[0]
+
+
+def test_plans_are_as_short_as_the_shortest():
+    rng, tried = random.Random(6), 0
+    for _ in range(1200):
+        items = [rng.randint(8, 60) for _ in range(rng.randint(12, 18))]
+        counts = np.bincount(items, minlength=101)
+        fit = sum(n for n, _ in packing.best_fit(counts, 100))
+        if fit == packing.lower_bound(counts, 100):
+            continue
+        made = packing.plan(counts, 100)
+        assert sorted(s for n, f in made for s in f * n) == sorted(items)
+        assert sum(n for n, _ in made) == exact_fewest(items, 100, fit)
+        tried += 1
+    assert tried > 50
+
+
+def test_a_plan_that_best_fit_misses():
+    items = [12, 13, 21, 23, 24, 26, 27, 28, 29, 32, 33, 35, 41, 43, 44, 44, 45, 49, 60, 60]
+    counts = np.bincount(items, minlength=101)
+    assert sum(n for n, _ in packing.best_fit(counts, 100)) == 8
+    assert sum(n for n, _ in packing.plan(counts, 100)) == 7
+
+
+def test_many_small_companions():
+    counts = np.zeros(2049, int)
+    counts[1], counts[3], counts[1500], counts[1400] = 5000, 700, 9, 9
+    made = packing.plan(counts)
+    assert sum(n * len(f) for n, f in made) == counts.sum()
+    assert sum(n for n, _ in made) == packing.lower_bound(counts, 2048)
