@@ -398,6 +398,8 @@ ORACLE: dict[str, str] = {
     "event_history_closed_from_times": _with(_DAILY, "SELECT * FROM kinds"),
     "fact_closed": _FACT_ROWS,
     "fact_half_open": _FACT_ROWS,
+    "fact_bucketed": _FACT_ROWS,
+    "append_compacted": "SELECT o_orderkey, o_custkey FROM orders",
     "fact_without_broadcast": _FACT_ROWS,
     "star_by_batch_run": _FACT_ROWS,
     "star_by_incremental_run": _FACT_ROWS,

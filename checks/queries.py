@@ -30,7 +30,8 @@ from strata.operators.skew import salted_join
 from strata.parallel import together
 from strata.plans import layers, retail
 from strata.scratch import materialise, scratch_path
-from strata.sources import evolving, tables
+from strata.sources import appends, evolving, tables
+from strata.sources.bucketed import write_bucketed
 from strata.sources.files import read_batches, write_batch
 from strata.streaming import compacted
 from strata.streaming.changes import apply_changes, read_history
@@ -429,6 +430,21 @@ def fact_without_broadcast(spark, sf):
     return _fact(spark, sf, "closed", broadcast_bytes=0, hot_rows=6)
 
 
+@query
+def fact_bucketed(spark, sf):
+    """The fact out of lines and orders that lie in buckets by order; they meet without a shuffle."""
+    named = {e: f"{e}_{uuid.uuid4().hex}" for e in ("order_lines", "orders")}
+    for entity, name in named.items():
+        write_bucketed(_silver(spark, sf, entity), name, ["order_id"], 16)
+    customers = materialise(retail.dim_customer(_history_in(spark, sf, "closed"), "closed"), "dim")
+    products = materialise(retail.dim_product(_stored(spark, sf, "products")), "dim")
+    lines, orders = (spark.table(name) for name in named.values())
+    fact = materialise(retail.fact_order_line(lines, orders, customers, products), "fact")
+    for name in named.values():
+        spark.sql(f"DROP TABLE {name}")
+    return fact
+
+
 @query
 def fact_unmatched(spark, sf):
     """Orders from before a customer's first version have no customer."""
@@ -737,6 +753,25 @@ def load_evolving_files_forced(spark, sf):
     return _load_evolving(spark, sf, force=True)
 
 
+@query
+def append_compacted(spark, sf):
+    """Orders in 56 micro-batches, merged into few files while a reader follows."""
+    feed, path = scratch_path(spark, "feed"), scratch_path(spark, "table")
+    state, copy = scratch_path(spark, "state"), scratch_path(spark, "copy")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    checkpoint = scratch_path(spark, "checkpoint")
+    for half in (0, 1):
+        rows = orders.filter(F.pmod(F.xxhash64("o_orderkey"), F.lit(2)) == half)
+        rows.repartition(55).write.mode("append").parquet(feed)
+        appends.sink(stream_table(spark, feed, orders.schema, maxFilesPerTrigger="2"), path, checkpoint)
+        if half:
+            appends.compact_appends(spark, path)
+        appends.follow(spark, path, state, lambda new, upto: appends.append(new, copy, ("copy", upto)))
+        if not half:
+            appends.compact_appends(spark, path)
+    return appends.read_appends(spark, copy).drop(appends.APPEND)
+
+
 @query
 def row_count_report(spark, sf):
     """Rows that loads report against rows stored, over more micro-batches than are remembered."""

@@ -59,9 +59,28 @@ def encode(df: DataFrame, start: str, end: str, encoding: str) -> DataFrame:
     raise ValueError(f"unknown encoding {encoding}")
 
 
-def to_closed(df: DataFrame) -> DataFrame:
-    """Half-open history in the closed encoding."""
-    return encode(df, START_AT, END_AT, "closed")
+def to_closed(
+    df: DataFrame, keys: Sequence[str] = (), tracked: Sequence[str] = ()
+) -> DataFrame:
+    """Half-open history in the closed encoding.
+
+    Of several versions that start on one day the last one stays, and may then be like the one
+    before: with ``keys`` and ``tracked`` such neighbours become one version, as in a history
+    that was made in the closed encoding. Histories of whole days need neither.
+    """
+    closed = encode(df, START_AT, END_AT, "closed")
+    if not keys:
+        return closed
+    state = F.struct(*_columns(tracked), F.lit(True).alias("_present"))
+    marked = neighbour(closed, keys, [VALID_FROM], state, "_before", back=True)
+    starts = marked.filter(~state.eqNullSafe(F.col("_before"))).drop("_before")
+    ended = neighbour(starts, keys, [VALID_FROM], F.col(VALID_FROM), "_end", back=False)
+    others = [c for c in closed.columns if c not in (VALID_TO, IS_CURRENT)]
+    return ended.select(
+        *others,
+        F.coalesce(day_before(F.col("_end")), F.lit(OPEN_END)).alias(VALID_TO),
+        F.col("_end").isNull().alias(IS_CURRENT),
+    )
 
 
 def to_half_open(df: DataFrame) -> DataFrame:

@@ -52,7 +52,7 @@ def stable_keys(
     spark, by = df.sparkSession, list(by)
     stored = materialise(df, "registry-rows")
     version = published.latest(spark, registry)
-    kinds = [T.StructField(n, stored.schema[n].dataType) for n in by]
+    kinds = [T.StructField(n, published.stored_schema(stored.schema)[n].dataType) for n in by]
     schema = T.StructType([*kinds, T.StructField(name, T.LongType())])
     if version is not published.NONE and version.notes["schema"] != schema.jsonValue():
         raise ValueError(f"the registry was made for {version.notes['schema']}")

@@ -110,8 +110,8 @@ def salted_join(
     retry); the few matching rows of ``right`` are repeated once per salt. Rows with a NULL
     key match nothing and do not travel: they are dropped or completed with NULLs in place.
     ``right`` is meant to be unique on ``keys``. Finding the hot keys reads ``left`` once more;
-    unless given, the number of salts follows from the largest of them, so that no task gets
-    many more than ``hot_rows`` rows of a key.
+    unless given, the number of salts follows from each key's own rows, so that no task gets
+    many more than ``hot_rows`` rows of a key and no key is repeated for the sake of another.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how}")
@@ -124,14 +124,20 @@ def salted_join(
     keyed = left.filter(~some_null)
     hot = hot_counts(keyed, keys, hot_rows)
     if hot:
-        salts = salts or 2 * math.ceil(max(hot.values()) / hot_rows)
-        spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")
-        copies = F.sequence(F.lit(0), F.lit(salts - 1))
-        keyed = keyed.withColumn("_salt", F.when(is_hot(keys, list(hot)), spread).otherwise(F.lit(0)))
-        right = right.withColumn(
-            "_salt",
-            F.explode(F.when(is_hot(keys, list(hot)), copies).otherwise(F.array(F.lit(0)))),
-        )
+        # Numbers of salts are powers of two, so there are few of them.
+        groups: dict[int, list[int]] = {}
+        for h, rows in hot.items():
+            own = salts or 1 << max(1, math.ceil(math.log2(2 * rows / hot_rows)))
+            groups.setdefault(own, []).append(h)
+        many = F.lit(1)
+        for own, hashes in groups.items():
+            many = F.when(is_hot(keys, hashes), F.lit(own)).otherwise(many)
+        spread = F.xxhash64(*[F.col(c) for c in left.columns])
+        keyed = keyed.withColumn("_salts", many)
+        salt = F.when(F.col("_salts") > 1, F.pmod(spread, F.col("_salts"))).otherwise(F.lit(0))
+        keyed = keyed.withColumn("_salt", salt.cast("int")).drop("_salts")
+        copies = F.sequence(F.lit(0), many - 1)
+        right = right.withColumn("_salt", F.explode(copies))
         joined = keyed.join(right, [*keys, "_salt"], how).drop("_salt")
     else:
         joined = keyed.join(right, keys, how)

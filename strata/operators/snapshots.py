@@ -20,7 +20,8 @@ OPEN, CLOSED = "open", "closed"
 
 
 def _schema(snapshot: DataFrame, keys, tracked, carried) -> T.StructType:
-    named = [snapshot.schema[n] for n in [*keys, *carried, *tracked]]
+    stored = published.stored_schema(snapshot.schema)
+    named = [stored[n] for n in [*keys, *carried, *tracked]]
     ends = [T.StructField(n, T.DateType()) for n in (VALID_FROM, VALID_TO)]
     return T.StructType([*named, *ends, T.StructField(IS_CURRENT, T.BooleanType())])
 

@@ -134,7 +134,7 @@ def load_files(
         rows.write.parquet(f"{path}/{folder}")
         kept["rows"] = [*kept["rows"], folder]
         count = published.rows_of(spark, path, [folder], rows.schema).count()
-        schema = _with_new_fields(schema, rows.schema)
+        schema = _with_new_fields(schema, published.stored_schema(rows.schema))
     taken = published.new_folder(path, "files")
     ledger = spark.createDataFrame([(f.path, f.size, f.changed) for f in listed if f.path in set(new)], _FILES)
     ledger.coalesce(1).write.parquet(f"{path}/{taken}")

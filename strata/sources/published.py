@@ -124,6 +124,18 @@ def expire(
     return len(dropped)
 
 
+def stored_schema(schema: T.DataType) -> Any:
+    """A schema as files have it: anything may be NULL. So it is compared and kept in notes."""
+    if isinstance(schema, T.StructType):
+        fields = [(f.name, stored_schema(f.dataType), f.metadata) for f in schema]
+        return T.StructType([T.StructField(n, kind, True, data) for n, kind, data in fields])
+    if isinstance(schema, T.ArrayType):
+        return T.ArrayType(stored_schema(schema.elementType), True)
+    if isinstance(schema, T.MapType):
+        return T.MapType(stored_schema(schema.keyType), stored_schema(schema.valueType), True)
+    return schema
+
+
 def rows_of(
     spark: SparkSession, path: str, folders: Iterable[str], schema: T.StructType
 ) -> DataFrame:

@@ -47,7 +47,7 @@ def append_table(df: DataFrame, path: str, once: tuple[str, int] | None = None)
     """
     spark, path = df.sparkSession, path.rstrip("/")
     version = published.latest(spark, path)
-    schema = df.schema.jsonValue()
+    schema = published.stored_schema(df.schema).jsonValue()
     if version.notes.get("schema", schema) != schema:
         raise ValueError(f"the table was made with {version.notes['schema']}")
     taken = dict(version.notes.get("taken", {}))

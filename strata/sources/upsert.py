@@ -33,7 +33,7 @@ def upsert(
     """
     spark, path, keys = new.sparkSession, path.rstrip("/"), list(keys)
     version = published.latest(spark, path)
-    schema = new.schema.jsonValue()
+    schema = published.stored_schema(new.schema).jsonValue()
     made = {"schema": schema, "keys": keys, "buckets": buckets}
     known = {k: version.notes.get(k, made[k]) for k in made}
     if known != made:

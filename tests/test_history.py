@@ -256,3 +256,16 @@ def test_hot_key_over_many_slices(spark, untracked):
         )
         found = sorted((tuple(r) for r in found.collect()), key=lambda r: (r[0], r[3]))
     assert found == brute_force(listed, untracked)
+
+
+def test_days_of_a_half_open_history_merge_into_versions(spark):
+    """X, then on one day Y and X again: one version, as if it had been made by days."""
+    moments = [(1, "x", datetime(2024, 1, 1)), (1, "y", datetime(2024, 1, 5, 8)), (1, "x", datetime(2024, 1, 5, 9))]
+    moments += [(1, "z", datetime(2024, 1, 7)), (2, "x", datetime(2024, 1, 2)), (2, None, datetime(2024, 1, 3))]
+    feed = spark.createDataFrame(moments, "id int, city string, at timestamp")
+    half_open = hist.scd2_history(feed, ["id"], "at", ["city"], encoding="half_open")
+    closed = hist.scd2_history(feed, ["id"], "at", ["city"])
+    columns = ["id", "city", "valid_from", "valid_to", "is_current"]
+    merged = hist.to_closed(half_open, ["id"], ["city"])
+    assert rows(merged.select(columns)) == rows(closed.select(columns))
+    assert hist.to_closed(half_open).count() == closed.count() + 1

@@ -13,6 +13,7 @@ from strata.operators.fact import build_fact
 from strata.operators.lookup import lookup_scd2
 from strata.plans import retail
 from strata.scratch import materialise
+from strata.sources.bucketed import write_bucketed
 
 
 def plan(df):
@@ -133,3 +134,28 @@ def test_content_check_reads_each_variant_once(spark, events):
     df = reconcile.content_check({"a": events, "b": events.filter("k < 9")}, ["at"], ["state", "note"])
     assert (count(df, r"FileScan"), count(df, r"Exchange ")) == (2, 2)
     assert "unused" not in plan(df)
+
+
+def test_fact_of_bucketed_tables_moves_no_lines(spark, no_small_tables):
+    """Lines and orders that lie in buckets by order: only order numbers are shuffled."""
+    lines = spark.range(600).selectExpr(
+        "id DIV 3 AS order_id", "CAST(id % 3 AS int) AS line_id", "id % 5 AS product_id", "1 AS quantity",
+        "1.0BD AS unit_price", "0.0BD AS discount_pct", "1.0BD AS line_amount",
+    )
+    orders = spark.range(200).selectExpr(
+        "id AS order_id", "id % 9 AS customer_id", "DATE'2024-01-05' AS order_date", "'open' AS status"
+    )
+    customers = spark.range(9).selectExpr(
+        "id + 1 AS customer_sk", "id AS customer_id", "DATE'2024-01-01' AS valid_from",
+        "DATE'9999-12-31' AS valid_to", "true AS is_current",
+    )
+    products = spark.range(5).selectExpr("id + 1 AS product_sk", "id AS product_id")
+    write_bucketed(lines, "plan_lines", ["order_id"], 4)
+    write_bucketed(orders, "plan_orders", ["order_id"], 4)
+    bucketed = build_fact(spark.table("plan_lines"), spark.table("plan_orders"), customers, products)
+    plain = build_fact(materialise(lines, "l"), materialise(orders, "o"), customers, products)
+    moved = [line for line in plan(bucketed).splitlines() if "Exchange hashpartitioning(order_id" in line]
+    assert len(moved) <= 1 < count(plain, r"Exchange hashpartitioning\(order_id")
+    assert sorted(map(tuple, bucketed.collect())) == sorted(map(tuple, plain.collect()))
+    for name in ("plan_lines", "plan_orders"):
+        spark.sql(f"DROP TABLE {name}")

@@ -154,7 +154,17 @@ def test_the_batch_is_the_folder_above_the_file(spark):
     assert [r[0] for r in rows.select(batch_of_path(F.col("p"))).collect()] == ["batch_3", "batch_7", ""]
 
 
-def test_salts_follow_the_largest_key(spark):
+def test_salts_follow_each_key(spark):
+    """Keys of 2,000 and of 150 rows: each row of the right side is repeated as its own key needs."""
+    left = spark.range(2150).select(F.when(F.col("id") < 2000, 1).otherwise(2).alias("k"), "id")
+    right = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "k int, v string")
+    joined = salted_join(left, right, ["k"], "left", hot_rows=100)
+    assert sorted((r.v, r["count"]) for r in joined.groupBy("v").count().collect()) == [("x", 2000), ("y", 150)]
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "64" in plan and "THEN 4" in plan
+
+
+def test_salts_of_the_largest_key(spark):
     left = spark.range(4000).select(F.lit(1).alias("k"), "id")
     assert list(hot_counts(left, ["k"], 100).values()) == [4000]
     right = spark.createDataFrame([(1, "x")], "k int, v string")
