@@ -63,7 +63,7 @@ def naive_surrogate_keys(spark, sf):
 
 def naive_compare(spark, sf):
     """Each of the five groups by a join of its own."""
-    states = _versions(spark, sf).drop("_batch_id")
+    states = _versions(spark, sf).drop("_batch_id", "_batch_no")
     old = states.filter(F.col("_effective") == DATES["batch_1"])
     new = states.filter(F.col("_effective") == DATES["batch_2"])
     both = old.alias("o").join(new.alias("n"), "customer_id")
