@@ -4,6 +4,11 @@ The tokenizers cut a text in front of white space that follows a character which
 text cut at its blanks is the sequence of its parts, and equal parts have equal ids. Each worker
 keeps the ids of the parts it has met lately. Texts in which a part ends in white space (several
 blanks in a row, say) are encoded whole.
+
+New parts are encoded many at a time, joined by blanks, which costs less than a text each. The
+ids are cut where a token begins with the vocabulary's mark of a blank or, in vocabularies that
+mark the ends of words, after such an end; that only for parts of letters, which are one word.
+Where the number of pieces is not that of the parts, each part is encoded by itself.
 """
 
 from __future__ import annotations
@@ -13,10 +18,15 @@ from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
+
 # Parts in each of the two generations that a worker remembers.
 KEPT = 500_000
 _BLOCK = 1 << 20
 _UNSAFE = b"?"  # Stands for a part after which a text may not be cut.
+_JOINED = 500  # Parts encoded as one text.
+# How vocabularies mark a blank in front of a word, and the end of a word.
+_BLANK, _WORD_END = "\u0120", "</w>"
 
 
 @lru_cache(maxsize=4)
@@ -39,6 +49,14 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        tokens = self.tokenizer.get_vocab(with_added_tokens=True)
+        size = 1 + max(tokens.values(), default=0)
+        self.begins, self.ends = np.zeros(size, dtype=bool), np.zeros(size, dtype=bool)
+        for token, at in tokens.items():
+            self.begins[at] = token.startswith(_BLANK)
+            self.ends[at] = token.endswith(_WORD_END)
+        # Either mark may also be a letter of the other kind of vocabulary.
+        self.by_ends = bool(self.ends.sum() > self.begins.sum())
 
     def __call__(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers; NULL is empty."""
@@ -76,7 +94,39 @@ class Encoder:
     def _learn(self, parts: set[str]) -> None:
         again = {p: self.older[p] for p in parts if p in self.older}
         self.known.update(again)
-        new = list(parts.difference(again))
-        blanks = [" " + p for p in new]
-        self.known.update(zip(new, self._encoded(blanks)))
-        self.known.update((p, _UNSAFE) for p in new if not p or p[-1].isspace())
+        new = parts.difference(again)
+        unsafe = {p for p in new if not p or p[-1].isspace()}
+        self.known.update((p, _UNSAFE) for p in unsafe)
+        joined = [p for p in new.difference(unsafe) if self._is_one_piece(p)]
+        alone = list(new.difference(unsafe).difference(joined))
+        for at in range(0, len(joined), _JOINED * 16):
+            block = joined[at : at + _JOINED * 16]
+            chunks = [block[k : k + _JOINED] for k in range(0, len(block), _JOINED)]
+            texts = ["".join([" " + p for p in chunk]) for chunk in chunks]
+            for chunk, ids in zip(chunks, self._encoded(texts)):
+                if (cut := self._cut(ids, len(chunk))) is None:
+                    alone += chunk
+                else:
+                    self.known.update(zip(chunk, cut))
+        self.known.update(zip(alone, self._encoded([" " + p for p in alone])))
+
+    def _is_one_piece(self, part: str) -> bool:
+        if not self.by_ends:
+            return bool(self.begins.any())
+        # A capital that becomes a letter and a mark in lower case is two words for a tokenizer.
+        return part.isalpha() and "\u0130" not in part
+
+    def _cut(self, ids: bytes, parts: int) -> list[bytes] | None:
+        """The ids of each part of a joined text; None if the marks do not tell the parts."""
+        numbers = np.frombuffer(ids, dtype="<u4")
+        if self.by_ends:
+            edges = np.append(0, np.flatnonzero(self.ends[numbers]) + 1)
+            whole = len(edges) == parts + 1 and edges[-1] == len(numbers)
+        else:
+            edges = np.flatnonzero(self.begins[numbers])
+            whole = len(edges) == parts and edges[0] == 0
+            edges = np.append(edges, len(numbers))
+        if not whole:
+            return None
+        places = (4 * edges).tolist()
+        return [ids[a:b] for a, b in zip(places, places[1:])]
