@@ -9,11 +9,16 @@ New parts are encoded many at a time, joined by blanks, which costs less than a
 ids are cut where a token begins with the vocabulary's mark of a blank or, in vocabularies that
 mark the ends of words, after such an end; that only for parts of letters, which are one word.
 Where the number of pieces is not that of the parts, each part is encoded by itself.
+
+A part that ends in one or two ASCII marks ("word," say) is the part without them and the marks,
+if the tokenizer cuts between a letter and these marks; so it needs no encoding of its own.
 """
 
 from __future__ import annotations
 
 import os
+import re
+import string
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -27,6 +32,11 @@ _UNSAFE = b"?"  # Stands for a part after which a text may not be cut.
 _JOINED = 500  # Parts encoded as one text.
 # How vocabularies mark a blank in front of a word, and the end of a word.
 _BLANK, _WORD_END = "\u0120", "</w>"
+# Fixed value: a capital that becomes a letter and a mark in lower case, two words for a tokenizer.
+_TWO_LETTERS = "\u0130"
+# Latin, Greek and Cyrillic letters, which all tables of characters know, and one or two marks;
+# more are left alone, which bounds the kinds of endings.
+_WITH_MARKS = re.compile(rf"([^\W\d_{_TWO_LETTERS}\u0530-\U0010FFFF]+)([{re.escape(string.punctuation)}]{{1,2}})")
 
 
 @lru_cache(maxsize=4)
@@ -49,6 +59,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.tails: dict[str, bytes | None] = {}
         tokens = self.tokenizer.get_vocab(with_added_tokens=True)
         size = 1 + max(tokens.values(), default=0)
         self.begins, self.ends = np.zeros(size, dtype=bool), np.zeros(size, dtype=bool)
@@ -92,9 +103,41 @@ class Encoder:
         return [id_bytes(one.ids) for one in found]
 
     def _learn(self, parts: set[str]) -> None:
+        new = self._not_recalled(parts)
+        stems = self._stems(new)
+        unmet = self._not_recalled(set(stems.values()).difference(self.known))
+        self._encode_parts(new.difference(stems).union(unmet))
+        known, tails = self.known, self.tails
+        known.update([(p, known[s] + tails[p[len(s) :]]) for p, s in stems.items()])
+
+    def _not_recalled(self, parts: set[str]) -> set[str]:
+        """Those of the parts that the older generation does not have either."""
         again = {p: self.older[p] for p in parts if p in self.older}
         self.known.update(again)
-        new = parts.difference(again)
+        return parts.difference(again)
+
+    def _stems(self, parts: set[str]) -> dict[str, str]:
+        """Parts of letters with marks at their end, and what is left without the marks."""
+        found, read = {}, _WITH_MARKS.fullmatch
+        for part in parts:
+            if not part.isalpha() and (match := read(part)) is not None:
+                stem, marks = match.groups()
+                if stem.isalpha() and self._tail(marks) is not None:
+                    found[part] = stem
+        return found
+
+    def _tail(self, marks: str) -> bytes | None:
+        """The ids of marks behind a letter; None if they may belong to the letter's piece."""
+        if marks not in self.tails:
+            text, cut = "a" + marks, self.tokenizer.pre_tokenizer
+            pieces = cut.pre_tokenize_str(text) if cut else []
+            normal = self.tokenizer.normalizer
+            same = normal is None or normal.normalize_str(text) == text
+            apart = same and any(end == 1 for _, (_, end) in pieces)
+            self.tails[marks] = self._encoded([marks])[0] if apart else None
+        return self.tails[marks]
+
+    def _encode_parts(self, new: set[str]) -> None:
         unsafe = {p for p in new if not p or p[-1].isspace()}
         self.known.update((p, _UNSAFE) for p in unsafe)
         joined = [p for p in new.difference(unsafe) if self._is_one_piece(p)]
@@ -113,8 +156,7 @@ class Encoder:
     def _is_one_piece(self, part: str) -> bool:
         if not self.by_ends:
             return bool(self.begins.any())
-        # A capital that becomes a letter and a mark in lower case is two words for a tokenizer.
-        return part.isalpha() and "\u0130" not in part
+        return part.isalpha() and _TWO_LETTERS not in part
 
     def _cut(self, ids: bytes, parts: int) -> list[bytes] | None:
         """The ids of each part of a joined text; None if the marks do not tell the parts."""
