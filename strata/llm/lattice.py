@@ -15,6 +15,7 @@ vocabulary costs one escape and then a uniform choice, so that every text has a
 
 from __future__ import annotations
 
+import string
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import left_out, picked
+from strata.llm.common import left_out, words_of
 from strata.scratch import materialise
 
 ROUNDS = 2
@@ -201,22 +202,10 @@ def tokens_of(text: str | None) -> list[str]:
 
 def _word_counts(rows: DataFrame) -> DataFrame:
     """Distinct words of all rows: how often in learning rows, how often in all."""
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            learnt, every = Counter(), Counter()
-            for text, held in zip(batch["_text"], batch["_held"]):
-                words = tokens_of(text)
-                every.update(words)
-                if not held:
-                    learnt.update(words)
-            names = list(every)
-            yield pd.DataFrame(
-                {"_word": names, "_c": [learnt[w] for w in names], "_n": [every[w] for w in names]}
-            )
-
-    parts = rows.select("_text", "_held").mapInPandas(count, "_word string, _c bigint, _n bigint")
-    return parts.groupBy("_word").agg(F.sum("_c").alias("_c"), F.sum("_n").alias("_n"))
+    lowered = F.translate("_text", string.ascii_uppercase, string.ascii_lowercase)
+    words = rows.select(F.explode(words_of(lowered)).alias("_word"), "_held")
+    learnt = F.count_if(~F.col("_held")).alias("_c")
+    return words.groupBy("_word").agg(learnt, F.count(F.lit(1)).alias("_n"))
 
 
 def _learnt(counts: DataFrame, ends: int, pieces: list[str], rounds: int) -> np.ndarray:

@@ -32,6 +32,18 @@ def test_parts_have_the_ids_of_the_whole(path):
     assert found == [plain.encode(t or "", add_special_tokens=False).ids for t in rows]
 
 
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_words_that_end_in_marks(path):
+    heads = ["don", "x", "Caf\u00e9", "cafe\u0301", "\u0391\u03a3", "\u0130", "a\u0130", "\u5b57", "\U0001e900", "a1", "", "_"]
+    ends = ["'", ",", ".)", "'s", "''", ">", "=", "-", "_", "<|", "\u0338", ".\n"]
+    words = [h + e for h in heads for e in ends]
+    mixed = random.Random(7)
+    rows = words + [" ".join(mixed.choices(words, k=12)) for _ in range(400)]
+    plain = Tokenizer.from_file(path)
+    found = [np.frombuffer(b, dtype="<u4").tolist() for b in Encoder(path)(rows)]
+    assert found == [plain.encode(t, add_special_tokens=False).ids for t in rows]
+
+
 def test_what_a_worker_forgets_changes_nothing(monkeypatch):
     monkeypatch.setattr("strata.llm.encoding.KEPT", 50)
     monkeypatch.setattr("strata.llm.encoding._BLOCK", 200)
