@@ -12,10 +12,14 @@ Where the number of pieces is not that of the parts, each part is encoded by its
 
 A part that ends in one or two ASCII marks ("word," say) is the part without them and the marks,
 if the tokenizer cuts between a letter and these marks; so it needs no encoding of its own.
+
+Where the tokenizer itself makes blanks of white space or small letters of capitals before all
+else, texts get blanks for line breaks and small letters first, which leaves fewer kinds of parts.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import string
@@ -37,6 +41,10 @@ _TWO_LETTERS = "\u0130"
 # Latin, Greek and Cyrillic letters, which all tables of characters know, and one or two marks;
 # more are left alone, which bounds the kinds of endings.
 _WITH_MARKS = re.compile(rf"([^\W\d_{_TWO_LETTERS}\u0530-\U0010FFFF]+)([{re.escape(string.punctuation)}]{{1,2}})")
+# Steps of a normalizer that come to the same after line breaks are blanks and A-Z are a-z.
+_TO_BLANK = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
+_LOWER, _LEVELLING = {"type": "Lowercase"}, [{"type": "NFC"}, {"type": "Lowercase"}, _TO_BLANK]
+_LINES = re.compile(r"[ \n]+")
 
 
 @lru_cache(maxsize=4)
@@ -68,18 +76,43 @@ class Encoder:
             self.ends[at] = token.endswith(_WORD_END)
         # Either mark may also be a letter of the other kind of vocabulary.
         self.by_ends = bool(self.ends.sum() > self.begins.sum())
+        with open(path, encoding="utf-8") as file:
+            made = json.load(file)
+        normalizer = made.get("normalizer") or {}
+        steps = normalizer.get("normalizers", [normalizer])
+        known = all(step in _LEVELLING for step in steps)
+        self.blanks, self.lowers = known and _TO_BLANK in steps, known and _LOWER in steps
+        # Found in a text before it is normalised, so levelling must not make or break one.
+        self.added = {self._levelled(token["content"]) for token in made.get("added_tokens") or ()} - {""}
 
     def __call__(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers; NULL is empty."""
         block, size = [], 0
         for text in texts:
-            block.append(text or "")
+            block.append(self._plain(text or ""))
             size += len(block[-1])
             if size >= _BLOCK:
                 yield from self._block(block)
                 block, size = [], 0
         yield from self._block(block)
 
+    def _plain(self, text: str) -> str:
+        """A text with the same ids and fewer kinds of parts."""
+        levelled = self._levelled(text)
+        return text if any(token in levelled for token in self.added) else levelled
+
+    def _levelled(self, text: str) -> str:
+        if self.blanks and "\n" in text:
+            text = _LINES.sub(" ", text) if "\n\n" in text or " \n" in text or "\n " in text else text.replace("\n", " ")
+        if self.lowers:
+            try:
+                # Bytes have small letters for A-Z alone. Beyond Latin-1 there are marks that join
+                # the letter before them, small letters other than capitals.
+                text = text.encode("latin-1").lower().decode("latin-1")
+            except UnicodeEncodeError:
+                pass
+        return text
+
     def _block(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > KEPT:
             self.known, self.older = {}, self.known
