@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strata.functions.dates import date_key
 from strata.operators.lookup import lookup, lookup_scd2
 from strata.operators.ordered import dense_numbers, group_starts
-from strata.operators.skew import BROADCAST_BYTES, HOT_ROWS, hot_hashes, is_hot
+from strata.operators.skew import BROADCAST_BYTES, HOT_ROWS, HotKeys, hot_keys, salted_join
 from strata.parallel import together
 
 MEASURES = ["quantity", "unit_price", "discount_pct", "line_amount"]
@@ -66,7 +66,7 @@ def build_fact(
             "lines": priced,
             "headers": headers,
             "starts": lambda: _first_numbers(lines, orders),
-            "hot": lambda: hot_hashes(lines, ["order_id"], hot_rows),
+            "hot": lambda: hot_keys(lines, ["order_id"], hot_rows),
         }
     )
     rows = found["lines"]
@@ -77,16 +77,22 @@ def build_fact(
     if not hot:
         return _numbered(rows.join(header, "order_id"), place)
 
-    large = is_hot(["order_id"], hot)
-    usual = _numbered(rows.filter(~large).join(header.filter(~large), "order_id"), place)
-    # One header per hot order, and the list of hot orders is bounded: safe to broadcast.
-    spread = rows.filter(large).join(F.broadcast(header.filter(large)), "order_id")
+    (few, many), (few_headers, many_headers) = hot.split(rows), hot.split(header)
+    usual = _numbered(few.join(few_headers, "order_id"), place)
+    spread = _per_hot_order(many, many_headers, hot, hot_rows)
     spread = dense_numbers(spread, ["order_id", "line_id"], "_number")
     firsts = spread.groupBy("order_id").agg(F.min("_number").alias("_first"))
-    spread = spread.join(F.broadcast(firsts), "order_id")
+    spread = _per_hot_order(spread, firsts, hot, hot_rows)
     return usual.unionByName(_numbered(spread, F.col("_number") - F.col("_first") + 1))
 
 
+def _per_hot_order(rows: DataFrame, per_order: DataFrame, hot: HotKeys, hot_rows: int) -> DataFrame:
+    """Lines of hot orders with what there is once per order, which is broadcast only if it is short."""
+    if hot.few:
+        return rows.join(F.broadcast(per_order), "order_id")
+    return salted_join(rows, per_order, ["order_id"], "inner", hot_rows, hot=hot)
+
+
 def _first_numbers(lines: DataFrame, orders: DataFrame) -> DataFrame:
     """Per order with lines: how many fact rows come before it."""
     sizes = lines.groupBy("order_id").agg(F.count(F.lit(1)).alias("_lines"))

@@ -23,7 +23,7 @@ from strata.functions.compare import same
 from strata.functions.dates import day_before
 from strata.operators.clean import latest_wins, with_keys
 from strata.operators.ordered import dense_numbers, neighbour, range_slices
-from strata.operators.skew import HOT_ROWS, hot_hashes, is_hot
+from strata.operators.skew import HOT_ROWS, hot_keys
 from strata.scratch import materialise
 
 # The column names of the two encodings.
@@ -99,12 +99,13 @@ def end_by_next(
         found = neighbour(rows, keys, [start], F.col(start), "_end", back=False)
         return found.select(*df.columns, "_end")
 
-    hot = hot_hashes(df, keys, hot_rows)
+    hot = hot_keys(df, keys, hot_rows)
     if not hot:
         return encode(ended(df), start, "_end", encoding)
-    rows = df.filter(is_hot(keys, hot)).withColumn("_spread", F.xxhash64(*df.columns))
+    usual, rows = hot.split(df)
+    rows = rows.withColumn("_spread", F.xxhash64(*df.columns))
     large = range_slices(rows, [*keys, start, "_spread"])
-    both = ended(df.filter(~is_hot(keys, hot))).unionByName(ended(large))
+    both = ended(usual).unionByName(ended(large))
     return encode(both, start, "_end", encoding)
 
 
@@ -208,11 +209,12 @@ def scd2_history(
     order = [sequence, *[c for c in tiebreak if c != sequence]]
     args = (keys, sequence, order, tracked, carried, untracked)
 
-    hot = hot_hashes(rows, keys, hot_rows)
+    hot = hot_keys(rows, keys, hot_rows)
     if not hot:
         return encode(_versions(rows, *args), sequence, "_end", encoding)
-    ordinary = _versions(rows.filter(~is_hot(keys, hot)), *args)
-    single = latest_wins(rows.filter(is_hot(keys, hot)), [*keys, sequence], tiebreak)
+    usual, large = hot.split(rows)
+    ordinary = _versions(usual, *args)
+    single = latest_wins(large, [*keys, sequence], tiebreak)
     large = _versions(range_slices(single, [*keys, *order]), *args)
     return encode(ordinary.unionByName(large), sequence, "_end", encoding)
 
@@ -243,12 +245,12 @@ def version_borders(
         inner = state.eqNullSafe(F.col("_before")) & state.eqNullSafe(F.col("_after"))
         return single.filter(~inner).select(*df.columns)
 
-    hot = hot_hashes(rows, keys, hot_rows)
+    hot = hot_keys(rows, keys, hot_rows)
     single = latest_wins(rows, [*keys, "_point"], order)
     if not hot:
         return borders(single)
-    large = range_slices(single.filter(is_hot(keys, hot)), [*keys, "_point"])
-    return borders(single.filter(~is_hot(keys, hot))).unionByName(borders(large))
+    usual, large = hot.split(single)
+    return borders(usual).unionByName(borders(range_slices(large, [*keys, "_point"])))
 
 
 # --- type 2 from snapshots ---------------------------------------------------------------

@@ -14,8 +14,7 @@ from strata.operators.skew import (
     BROADCAST_BYTES,
     HOT_ROWS,
     fits_broadcast,
-    hot_hashes,
-    is_hot,
+    hot_keys,
     salted_join,
 )
 
@@ -131,11 +130,12 @@ def lookup_scd2(
             *[hit[n].alias(n) for n in take],
         )
 
-    hot = hot_hashes(mixed, keys, hot_rows)
-    result = pick(mixed.filter(~is_hot(keys, hot)) if hot else mixed)
+    hot = hot_keys(mixed, keys, hot_rows)
+    usual, large = hot.split(mixed)
+    result = pick(usual)
     if hot:
         # The last part of the order spreads the facts of one key and time over slices.
-        large = mixed.filter(is_hot(keys, hot)).withColumn("_spread", F.xxhash64("_fact"))
+        large = large.withColumn("_spread", F.xxhash64("_fact"))
         sliced = range_slices(large, [*keys, "_at", "_kind", "_spread"])
         result = result.unionByName(pick(sliced))
     return result.unionByName(fact.filter(missing).withColumns(no_version))
